@@ -12,7 +12,9 @@ their own run; an empty table gives no file and an empty result; other columns a
 
 from __future__ import annotations
 
+import os
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -32,28 +34,40 @@ _SEEK_FRAME, _SEEK_MAGIC, _WITH_SUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: The skippable frame of the document index.
 _INDEX_FRAME = 0x184D2A50
 #: Bytes of ids to a frame and of a file; words that an encoder remembers.
-FRAME, ROLL, REMEMBERED = 256 << 10, 256 << 20, 400_000
+FRAME, ROLL, REMEMBERED = 256 << 10, 256 << 20, 1_000_000
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+#: Texts on which an encoder compares its ways of splitting with the plain library; else it uses that alone.
+_PROBES = ("It's <|endoftext|> don't\n\nx", "á\t b c\u0301 naïve ÀÉÎß übergröße", "12three!! x,y. (z) Word*** ÀÉ, ...", "  a", "the quick brown unbelievableness")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as one character: itself if it prints, else the next free one past 255."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder(dict):
     """Ids of a text by its space-separated pieces, each encoded once and remembered.
 
-    Exact where the tokenizer's pre-tokens never reach over a space or line end, which holds for tokenizers that
-    split on white space and drop it; ``check`` compares with the plain library on any texts.
-    """
+    Exact where the tokenizer splits on white space and drops it, and keeps a word of letters whole for its model;
+    an encoder tries that on a few texts first and otherwise encodes whole texts with the plain library."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
         self.plain = Tokenizer.from_file(path)
-        self.special = any(t.content for t in self.plain.get_added_tokens_decoder().values())
-        self.parts = __import__("re").compile("([A-Za-zÀ-ÖØ-öø-þ]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]+)")
+        self.model = self.plain.model
+        self.marked = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]+)")
+        self.letters = re.compile("[a-zß-öø-ÿ]+")
+        self.byte_letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.split = True
+        self.split = self.check(list(_PROBES))
 
     def _ids(self, piece: str) -> bytes:
         return np.asarray(self.plain.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
@@ -61,17 +75,21 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        m = self.parts.fullmatch(piece)
-        if m:  # letters, then marks: two pre-tokens
+        if self.letters.fullmatch(piece):  # one pre-token, already in its normal form
+            word = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_letters)
+            value = np.asarray([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+        elif m := self.marked.fullmatch(piece):  # letters, then marks: two pre-tokens
             value = self[m[1]] + self[m[2]]
-        elif piece.isascii() and piece.isalpha() and not piece.islower():
-            value = self[piece.lower()]
+        elif self.letters.fullmatch(low := piece.lower()) and len(low) == len(piece) and max(piece) < "\u0100":
+            value = self[low]
         else:
             value = self._ids(piece)
         self[piece] = value
         return value
 
     def encode(self, text: str) -> bytes:
+        if not self.split:
+            return self._ids(text)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
     def check(self, texts: list[str]) -> bool:
