@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Most rows that one Arrow batch hands to Python; bounds a worker's memory when texts are long.
 BATCH_ROWS = 512
+#: Most rows of a few longs that a join sends to all executors (8 MB a column); larger sides are shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast where its counted (or at most) ``rows`` are few enough."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body``; keeps Catalyst from copying a costly expression."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandgraph.llm import components, cotrain, decontam, html_crf, language_id, minhash, mixing, quality_rules, queries, secret_scan, token_store, warc
-from strandgraph.llm.common import utf8_buffers
+from strandgraph.llm.common import BROADCAST_ROWS, utf8_buffers
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket string, kept int, part int, text_a string"
 
@@ -216,10 +216,15 @@ def test_densified_bands_find_similar_sets():
         assert missed <= 1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [BROADCAST_ROWS, 0])
+def test_components(spark, monkeypatch, most):
+    """Alike whether minima are broadcast or shuffled."""
+    monkeypatch.setattr("strandgraph.llm.common.BROADCAST_ROWS", most)
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 7), (20, 21)]
-    got = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    got, most_ids = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.id: r.component for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20}
+    assert got.count() <= most_ids
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"))[0].count() == 0
 
 
 def test_pfair(spark, docs):
