@@ -1,11 +1,11 @@
-"""Queries over feature files and offset maps."""
+"""Queries over feature files, offset maps and byte spans."""
 
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import offsets
+from ..operators import markup, offsets
 from ..sources import features
 from ..sources.tables import table
 from .registry import query
@@ -39,3 +39,16 @@ def offset_map(spark, sf_dir):
     starts = lines.select("doc_id", F.col("line").cast("long").alias("line"), F.coalesce(F.sum(F.length("s") + 1).over(before), F.lit(0)).cast("long").alias("original"))
     edits = starts.where("line > 0").select("doc_id", (F.col("original") - 1).alias("start"), F.col("original").alias("end"), F.lit(3).alias("new_len"))
     return offsets.translate(starts, offsets.pieces(edits, "doc_id"), "doc_id", "original")
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(range(0, len(a))) AS line, unnest(a) AS s FROM (SELECT doc_id, string_split(replace(replace(text, '&', '&amp;'), '<', '&lt;'), chr(10)) AS a FROM documents)),
+b AS (SELECT doc_id, line, strlen(s) AS n, 12 + length(CAST(doc_id AS VARCHAR)) AS head FROM l),
+p AS (SELECT *, head + coalesce(sum(n + 7) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM b)
+SELECT doc_id, CAST(line + 1 AS INTEGER) AS ord, 'l' AS tag, 1 AS depth, CAST(s AS BIGINT) AS outer_start, CAST(s + n + 7 AS BIGINT) AS outer_end, CAST(s + 3 AS BIGINT) AS inner_start, CAST(s + 3 + n AS BIGINT) AS inner_end FROM p
+UNION ALL SELECT doc_id, 0, 'text', 0, 0, CAST(min(head) + sum(n + 7) + 7 AS BIGINT), min(head), CAST(min(head) + sum(n + 7) AS BIGINT) FROM b GROUP BY doc_id""")
+def span_scan(spark, sf_dir):
+    """The elements of each document as XML, a line an element."""
+    safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    xml = F.concat(F.lit('<text id="'), F.col("doc_id").cast("string"), F.lit('"><l>'), F.replace(safe, F.lit("\n"), F.lit("</l><l>")), F.lit("</l></text>"))
+    texts = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", xml.alias("xml"))
+    return markup.spans(texts, "doc_id", "xml").select(F.col("key").alias("doc_id"), "ord", "tag", "depth", "outer_start", "outer_end", "inner_start", "inner_end")

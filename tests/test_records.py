@@ -1,8 +1,8 @@
-"""Feature files and offset maps against plain Python."""
+"""Feature files, offset maps and byte spans against plain Python."""
 
 import random
 
-from strandgraph.operators import offsets
+from strandgraph.operators import markup, offsets
 from strandgraph.sources import features
 
 
@@ -53,3 +53,21 @@ def test_offsets(spark):
     assert {(r.doc, r.x): (r.moved, r.exact) for r in got.collect()} == want
     back = offsets.translate(got.where("exact").select("doc", "x", "moved").withColumnRenamed("moved", "y"), table, "doc", "y", "o")
     assert all(r.moved == r.x and r.exact for r in back.collect())
+
+
+def test_spans(spark):
+    whole = '<?xml version="1.0"?>\n<!-- a <b> -->\n<a x="1>2" y=\'é\'>é<b/><c>t<![CDATA[<z>]]></c></a>\n'
+    rows = [(1, whole), (2, "<a><b></a></b>"), (3, "<a>"), (4, "</a>"), (5, "<a/>x"), (6, "<a/><b/>"), (7, "<a>1 < 2</a>"), (8, ""), (9, None)]
+    got = markup.spans(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
+    assert {r.key: r.outcome for r in got if r.key > 1} == {2: "crossing", 3: "unclosed", 4: "stray_close", 5: "text_outside", 6: "second_root", 7: "stray_lt", 8: "no_root", 9: "no_root"}
+    data = whole.encode()
+    a, b, c = sorted((r for r in got if r.key == 1), key=lambda r: r.ord)
+    assert (a.tag, a.depth, a.attrs) == ("a", 0, {"x": "1>2", "y": "é"}) and data[a.outer_start : a.outer_end].endswith(b"</a>")
+    assert data[a.inner_start : a.inner_end] == "é<b/><c>t<![CDATA[<z>]]></c>".encode()
+    assert b.self_closing and b.inner_start is None and data[b.outer_start : b.outer_end] == b"<b/>"
+    assert data[c.inner_start : c.inner_end] == b"t<![CDATA[<z>]]>" and c.depth == 1
+
+
+def test_balanced():
+    assert markup.balanced("f (a (b) c) (d)") == "a (b) c" and markup.balanced("f (a (b) c) (d)", 11) == "d"
+    assert markup.balanced(") x (y") is None and markup.balanced("") is None
