@@ -2,10 +2,11 @@
 
 One hash of each shingle puts it into one of ``bins`` bins; a bin keeps its smallest value.  An empty bin
 borrows from the first non-empty one that a shared hash sequence names (optimal densification).  Bands of
-``rows`` bins are bucket keys.  In each bucket every member is paired only with the bucket's smallest id, so
-pairs grow with the members.  Members outside their centre's component are bucketed anew, by their bucket and a
-second (then a third) band together, which parts texts that only share a passage; what still shares a bucket
-after that is paired with 16, 256, ... centres, until those left are all of one component.
+``rows`` bins are bucket keys.  In each bucket every member is first paired only with the bucket's smallest id,
+which joins most groups with pairs that grow with the members.  Then all members of one bucket that are not yet
+of one component are paired with each other, so the components are those of all pairs that share a bucket.  Only
+pairs whose set sizes alone rule the similarity out are left out.  A bucket of m members that are unlike each
+other costs m * m / 2 pairs.
 
 Documents with equal shingle sets are one class and take part once.  Links are confirmed on full sets.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import LOWER, NOT_SPACE, mix, runs, word_hashes, words
@@ -27,8 +28,6 @@ from .components import connected_components
 
 #: Bands x rows of bins: a pair of similarity 0.8 is missed with a probability near 5e-6, one of 0.2 meets with 0.003.
 BANDS, ROWS = 40, 6
-#: How far off the further bands are that refine a bucket, at each level; a similar pair shares about ten finer keys.
-STEPS = ((1, 7, 17, 29), (2, 11, 23, 31))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,35 +147,37 @@ def linked(docs: DataFrame, sketched: DataFrame, classes: DataFrame, text: str,
     """Components (id, component) of the confirmed links between class representatives."""
     reps = classes.select(F.col("rep"), F.col("c1"), F.col("c2"))
     rows = sketched.join(reps, (F.col("key") == F.col("rep")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")))
-    spread = rows.select("key", F.posexplode("buckets").alias("band", "bucket"))
+    spread = rows.select("key", "n_shingles", F.explode("buckets").alias("bucket"))
     crowd = spread.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("m")).where("m > 1").select("k")
-    members = materialise(spread.join(crowd, F.col("bucket") == F.col("k")).select("bucket", "band", "key").distinct(), "members")
+    members = materialise(spread.join(crowd, F.col("bucket") == F.col("k")).select("bucket", "key", "n_shingles").distinct(), "members")
     wanted = members.select(F.col("key").alias("w")).distinct()
     texts = materialise(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(wanted, F.col("key") == F.col("w"), "left_semi").dropDuplicates(["key"]), "texts")
-    members = members.select("bucket", "band", "key", F.col("key").alias("part"))
-    bands = sketched.join(wanted, F.col("key") == F.col("w"), "left_semi").select(F.col("key").alias("bk"), "buckets").dropDuplicates(["bk"])
-    components, centres, finer = None, 1, list(STEPS)
-    while True:
-        hubs = materialise(_hubs(members, centres), "hubs")
-        tied = members.join(hubs, F.col("bucket") == F.col("k")).where("part <> hub_part")
-        pairs = tied.select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
-        good = materialise(_confirm(pairs, texts, k, percent), "links")
-        if components is None or good.take(1):
-            # what is known so far goes on as one edge for each id, not as all its links
-            known = good if components is None else good.unionByName(components.select(F.col("id").alias("a"), F.col("component").alias("b")))
-            components, ids = connected_components(known)
-        # a member goes on if no centre of its bucket is in its component, and others like it are left in the bucket
-        few = sized(components, ids)
-        now = members.drop("part").join(few, F.col("key") == F.col("id"), "left").select("bucket", "band", "key", F.coalesce("component", "key").alias("part"))
-        near = hubs.join(few, F.col("hub") == F.col("id"), "left").select("k", F.coalesce("component", "hub").alias("p"))
-        left = materialise(now.join(near, (F.col("bucket") == F.col("k")) & (F.col("part") == F.col("p")), "left_anti"), "members")
-        members = _crowded(left)
-        if finer:
-            members = _crowded(_refined(members, bands, finer.pop(0)))
-        else:
-            centres *= 16
-        if not members.take(1):
-            return components
+    hubs = members.groupBy(F.col("bucket").alias("k")).agg(F.min(F.struct("key", "n_shingles")).alias("h")).select("k", F.col("h.key").alias("other"), F.col("h.n_shingles").alias("n"))
+    hubs = materialise(hubs, "hubs")
+    tied = members.join(hubs, (F.col("bucket") == F.col("k")) & (F.col("other") < F.col("key")) & _near_sizes(percent))
+    good = materialise(_confirm(_pairs(tied), texts, k, percent), "links")
+    components, ids = connected_components(good)
+    # the centres have met all of their buckets; of the other members, those of different components meet now
+    rest = members.join(hubs, (F.col("bucket") == F.col("k")) & (F.col("key") == F.col("other")), "left_anti")
+    rest = rest.join(sized(components, ids), F.col("key") == F.col("id"), "left").select("bucket", "key", "n_shingles", F.coalesce("component", "key").alias("part"))
+    rest = _crowded(materialise(rest, "members"))
+    others = rest.select(F.col("bucket").alias("k"), F.col("key").alias("other"), F.col("n_shingles").alias("n"), F.col("part").alias("other_part"))
+    apart = rest.join(others, (F.col("bucket") == F.col("k")) & (F.col("other") < F.col("key")) & (F.col("part") != F.col("other_part")) & _near_sizes(percent))
+    more = materialise(_confirm(_pairs(apart), texts, k, percent), "links")
+    if not more.take(1):
+        return components
+    # what is known so far goes on as one edge for each id, not as all its links
+    return connected_components(more.unionByName(components.select(F.col("id").alias("a"), F.col("component").alias("b"))))[0]
+
+
+def _near_sizes(percent: int) -> Column:
+    """Whether sets of n_shingles and n can reach the similarity: it is at most the smaller size over the larger."""
+    return 100 * F.least("n_shingles", "n") >= percent * F.greatest("n_shingles", "n")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) of ``other`` and ``key``; written, so later joins know their size."""
+    return materialise(met.select(F.col("other").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
 
 
 def _crowded(members: DataFrame) -> DataFrame:
@@ -185,22 +186,6 @@ def _crowded(members: DataFrame) -> DataFrame:
     return materialise(members.join(crowd, F.col("bucket") == F.col("k"), "left_semi"), "members")
 
 
-def _refined(members: DataFrame, bands: DataFrame, steps: tuple[int, ...]) -> DataFrame:
-    """A finer bucket for each step: the old one and the band so many places on."""
-    further = F.explode(F.array(*[F.xxhash64("bucket", F.lit(s), F.get("buckets", F.pmod(F.col("band") + s, F.size("buckets")))) for s in steps]))
-    fine = members.join(bands, F.col("key") == F.col("bk")).select("band", "key", "part", further.alias("bucket"))
-    return materialise(fine.select("bucket", "band", "key", "part"), "members")
-
-
-def _hubs(members: DataFrame, centres: int) -> DataFrame:
-    """The ``centres`` smallest ids of each bucket.  Ranks are limited before the shuffle, so a hot bucket sends
-    a few rows from each task."""
-    if centres == 1:
-        return members.groupBy(F.col("bucket").alias("k")).agg(F.min("key").alias("hub")).withColumn("hub_part", F.col("hub"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
-    return members.select(F.col("bucket").alias("k"), F.col("key").alias("hub"), F.col("part").alias("hub_part"), rank.alias("r")).where(F.col("r") <= centres).select("k", "hub", "hub_part")
-
-
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document: n_shingles, the smallest doc_id of its component, and whether it is that document."""
     bound_batches(docs.sparkSession)

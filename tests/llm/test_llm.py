@@ -201,6 +201,40 @@ def test_near_duplicates(docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def edited(words, n, rng):
+    """The words with n of them, well apart, put out for new ones."""
+    out = list(words)
+    for i in rng.sample(range(len(out) // 6), n):
+        out[6 * i] = f"e{rng.getrandbits(60)}"
+    return out
+
+
+def true_components(rows, percent=80):
+    """Brute force: the smallest id that each id reaches over pairs of sets of five words."""
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in rows}
+    label = {k: k for k in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and label[a] != label[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return label
+
+
+def near_components(spark, rows):
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    return {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+
+
+def test_copies_of_an_original_with_a_middle_id(spark):
+    """Copies that only reach the similarity with their original are one component, whatever its id."""
+    rng = random.Random(11)
+    base = [f"w{rng.getrandbits(60)}" for _ in range(600)]
+    rows = [(i, base if i == 51 else edited(base, 11, rng)) for i in range(1, 102)]
+    assert set(true_components(rows).values()) == {1}
+    assert near_components(spark, rows) == true_components(rows)
+
+
 def test_densified_bands_find_similar_sets():
     """Pairs of similarity near 0.8 meet in some band, for small and large sets."""
     rng = np.random.default_rng(4)
