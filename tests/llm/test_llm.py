@@ -235,6 +235,19 @@ def test_copies_of_an_original_with_a_middle_id(spark):
     assert near_components(spark, rows) == true_components(rows)
 
 
+def test_pairs_in_crowded_buckets(spark):
+    """Pairs near the similarity are found where other texts with smaller ids head all buckets that they share."""
+    rng = random.Random(12)
+    passage = [f"p{rng.getrandbits(30)}" for _ in range(300)]
+    rows = [(i, edited(passage, 8, rng)) for i in range(1, 60)] + [(0, edited(passage, 3, rng))]
+    for i in range(100, 200):
+        at = rng.getrandbits(30)
+        for k in (i, i + 100):  # new words at the same six places
+            spots = set(random.Random(at).sample(range(50), 6))
+            rows.append((k, [f"e{rng.getrandbits(60)}" if j % 6 == 0 and j // 6 in spots else w for j, w in enumerate(passage)]))
+    assert near_components(spark, rows) == true_components(rows)
+
+
 def test_densified_bands_find_similar_sets():
     """Pairs of similarity near 0.8 meet in some band, for small and large sets."""
     rng = np.random.default_rng(4)
