@@ -5,12 +5,13 @@ weights sum to 1) must get its i-th block (from 0) in a slot no earlier than its
 before its deadline ceil((i + 1) / w); each slot goes to the released block with the earliest deadline.  With
 one block a slot this keeps every source less than one block away from w times the slots so far.
 
-Weights are whole shares of a period, so the schedule repeats after a period and only one period is ever
-computed, whatever the corpus.  When a source runs out, the others share its weight from then on: no document
-is dropped or repeated.  There are at most as many such phases as sources.
+Weights are exact fractions, a float the decimal number that it prints as, and all slots are computed with
+whole numbers, one after the other in one task that holds a few numbers for each source and passes on a row for
+each block.  When a source runs out, the others share its weight from then on: no document is dropped or
+repeated.  There are at most as many such phases as sources.
 
 Edge cases: a null source is a source of its own; rows that repeat a key are ordered by their content; a
-source without a target weight gets the mean weight; an empty table gives an empty result; other columns are
+source without a target weight gets the mean weight; sources of weight 0 follow when the others have run out; an empty table gives an empty result; other columns are
 ignored, whatever their names.
 """
 
@@ -18,21 +19,25 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import count, islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import materialise
+from .common import materialise, sized
 
-#: Documents in a block, slots in a period for each source.
-BLOCK, SLOTS = 16, 50
+#: Documents in a block.
+BLOCK = 16
+#: Rows of the schedule that are passed on at once.
+SLOT_ROWS = 8192
 
 
 def shares(weights: Mapping, period: int) -> dict:
-    """Whole shares, at least 1 each, that sum to ``period``: largest remainders, ties by name."""
+    """Whole shares, at least 1 each, that sum to ``period``: largest remainders, ties by name.  The mix itself rounds nothing."""
     names = sorted(weights, key=lambda n: (n is not None, str(n)))
     total = sum(weights[n] for n in names)
     exact = {n: 1 + (period - len(names)) * weights[n] / total for n in names}
@@ -42,57 +47,66 @@ def shares(weights: Mapping, period: int) -> dict:
     return out
 
 
-def schedule(parts: Mapping, period: int) -> list:
-    """The source of each slot of one period: the earliest deadline among released blocks.
+def dealt(parts: Mapping) -> Iterator[tuple]:
+    """Slot by slot without end, for whole weights: the source with the earliest deadline among released blocks, and
+    its block's number, release and deadline.
 
-    Shares sum to the period, so some block is always released and every deadline is met."""
-    names = list(parts)
+    A block is released in every slot and every deadline is met, since the shares of all slots sum to 1."""
+    names, total = list(parts), sum(parts.values())
     waiting = [(0, k) for k in range(len(names))]  # (release, source)
     ready: list[tuple[int, int, int]] = []
     given = [0] * len(names)
-    out = []
-    for slot in range(period):
+    for slot in count():
         while waiting and waiting[0][0] <= slot:
             _, k = heapq.heappop(waiting)
-            i, s = given[k], parts[names[k]]
-            heapq.heappush(ready, (-(-(i + 1) * period // s), -s, k))
+            s = parts[names[k]]
+            heapq.heappush(ready, (-(-(given[k] + 1) * total // s), -s, k))
         deadline, _, k = heapq.heappop(ready)
         assert slot < deadline
+        i, s = given[k], parts[names[k]]
+        yield names[k], i, i * total // s, deadline
         given[k] += 1
-        out.append(names[k])
-        if given[k] < parts[names[k]]:
-            heapq.heappush(waiting, (given[k] * period // parts[names[k]], k))
-    return out
+        heapq.heappush(waiting, ((i + 1) * total // s, k))
+
 
+def schedule(parts: Mapping, slots: int) -> list:
+    """The source of each of the first ``slots`` slots."""
+    return [n for n, *_ in islice(dealt(parts), slots)]
 
-def plan(blocks: Mapping, weights: Mapping, slots: int = SLOTS) -> list[dict]:
-    """Per source and phase: first block, blocks, first slot, share, period, and its slots within a period."""
+
+def plan(blocks: Mapping, weights: Mapping) -> Iterator[tuple]:
+    """Source, block, slot, release and deadline of every block, slot by slot."""
     left = {n: b for n, b in blocks.items() if b > 0}
-    done, base, rows = {n: 0 for n in left}, 0, []
+    exact = {n: Fraction(str(weights[n])) for n in left}
+    if any(w < 0 for w in exact.values()):
+        raise ValueError("a weight is negative")
+    done, base = dict.fromkeys(left, 0), 0
     while left:
-        period = slots * len(left)
-        parts = shares({n: weights[n] for n in left}, period)
-        order = schedule(parts, period)
-        places: dict = {n: [] for n in left}
-        for slot, n in enumerate(order):
-            places[n].append(slot)
-
-        def slot_of(n, i):
-            return i // parts[n] * period + places[n][i % parts[n]]
-
-        # the phase ends with the slot in which some source gives its last block
-        length = min(slot_of(n, left[n] - 1) for n in left) + 1
-        whole, rest = divmod(length, period)
-        for n in list(left):
-            took = whole * parts[n] + sum(1 for s in places[n] if s < rest)
-            if took:
-                rows.append({"source": n, "first": done[n], "blocks": took, "base": base, "share": parts[n], "period": period, "places": places[n]})
-            done[n] += took
-            left[n] -= took
-            if not left[n]:
+        some = {n: exact[n] for n in left if exact[n]} or dict.fromkeys(left, Fraction(1))
+        unit = math.lcm(*(w.denominator for w in some.values()))
+        for slot, (n, _, release, deadline) in enumerate(dealt({n: int(w * unit) for n, w in some.items()}), base):
+            yield n, done[n], slot, base + release, base + deadline
+            done[n] += 1
+            left[n] -= 1
+            if not left[n]:  # a phase ends with the slot in which some source gives its last block
                 del left[n]
-        base += length
-    return rows
+                break
+        base = slot + 1
+
+
+def slots(spark: SparkSession, blocks: Mapping, weights: Mapping) -> DataFrame:
+    """The plan as rows (s, b, slot, release, deadline), made by one task."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = plan(blocks, weights)
+            while some := list(islice(rows, SLOT_ROWS)):
+                s, *numbers = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array([None if n is None else str(n) for n in s], pa.string()), *[pa.array(x, pa.int64()) for x in numbers]], ["s", "b", "slot", "release", "deadline"])
+
+    return materialise(spark.range(0, 1, 1, 1).mapInArrow(run, "s string, b long, slot long, release long, deadline long"), "mix-slots")
 
 
 def ranked(docs: DataFrame, source: str, key: str, seed: int, carry: bool) -> DataFrame:
@@ -122,25 +136,14 @@ def mix(docs: DataFrame, weights: Mapping | None = None, source: str = "source",
     given = dict(weights) if weights else {n: c**power for n, c in counts.items()}
     mean = sum(given.values()) / len(given) if given else 1.0
     target = {n: given.get(n, mean) for n in counts}
-    phases = plan({n: -(-c // block) for n, c in counts.items()}, target)
+    blocks = {n: -(-c // block) for n, c in counts.items()}
+    table = slots(spark, blocks, target)
     # documents before a slot: a source's last block may be short
-    by_source: dict = {}
-    for p in phases:
-        by_source.setdefault(p["source"], []).append((p["first"], p["blocks"], p["base"], p["share"], p["period"], p["places"]))
-    short = sorted((ps[-1][2] + (last := ps[-1][0] + ps[-1][1] - 1 - ps[-1][0]) // ps[-1][3] * ps[-1][4] + ps[-1][5][last % ps[-1][3]], -(-counts[n] // block) * block - counts[n]) for n, ps in by_source.items())
-    phase = "struct<first:long,blocks:long,base:long,share:long,period:long,places:array<int>>"
-    schema = f"s {T.StringType().simpleString()}, phases array<{phase}>"
-    table = spark.createDataFrame([(n, ps) for n, ps in by_source.items()], schema)
+    last = table.groupBy("s").agg(F.max("slot").alias("slot")).toLocalIterator()  # a row for each source
+    lacks = {None if n is None else str(n): blocks[n] * block - c for n, c in counts.items()}
+    short = sorted((r["slot"], lacks[r["s"]]) for r in last)
     rows = ranked(docs, source, key, seed, carry).withColumn("block", F.floor(F.col("number") / block).cast("long"))
-    # a row for each source, whose slots in a period are bounded by SLOTS x sources: small enough to send to all
-    joined = rows.join(F.broadcast(table), F.col("source").cast("string").eqNullSafe(F.col("s")))
-    now = F.element_at(F.filter("phases", lambda p: (p["first"] <= F.col("block")) & (F.col("block") < p["first"] + p["blocks"])), 1)
-    placed = joined.withColumn("phase", now).drop("phases", "s")
-    i = F.col("block") - F.col("phase.first")
-    slot = F.col("phase.base") + F.floor(i / F.col("phase.share")) * F.col("phase.period") + F.get(F.col("phase.places"), (i % F.col("phase.share")).cast("int"))
-    release = F.col("phase.base") + F.floor(i * F.col("phase.period") / F.col("phase.share"))
-    deadline = F.col("phase.base") + F.ceil((i + 1) * F.col("phase.period") / F.col("phase.share"))
-    out = placed.select("doc_id", "source", "number", "block", slot.cast("long").alias("slot"), release.cast("long").alias("release"), deadline.cast("long").alias("deadline"), *(["row"] if carry else []))
+    out = rows.join(sized(table, sum(blocks.values())), F.col("source").cast("string").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
     return out.withColumn("mix_position", F.col("slot") * block + F.col("number") % block - missing(F.col("slot"), short)).select("doc_id", "source", "number", "block", "slot", "release", "deadline", "mix_position", *(["row"] if carry else []))
 
 

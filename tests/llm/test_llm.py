@@ -288,6 +288,29 @@ def test_pfair(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_pfair_keeps_to_the_given_weights(spark):
+    """Over many slots every source stays less than one block from its exact weight, and in its exact window."""
+    weights = {"a": 0.97, "b": 0.01, "c": 0.01, "d": 0.01}
+    rows = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id < 3880 THEN 'a' WHEN id < 3920 THEN 'b' WHEN id < 3960 THEN 'c' ELSE 'd' END AS source")
+    got = sorted(mixing.mix(rows, weights, block=1).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in got] == [r.mix_position for r in got] == list(range(4000))
+    given = Counter()
+    for r in got[:3900]:
+        given[r.source] += 1
+        part = round(100 * weights[r.source])
+        assert (r.release, r.deadline) == (r.block * 100 // part, -(-(r.block + 1) * 100 // part)) and r.release <= r.slot < r.deadline
+        assert all(abs(100 * given[n] - (r.slot + 1) * round(100 * w)) < 100 for n, w in weights.items())
+
+
+def test_plan_gives_every_block_once():
+    """Odd weights, a weight of 0 and sources that run out."""
+    blocks = {"a": 70, "b": 400, None: 9, "z": 5}
+    rows = list(mixing.plan(blocks, {"a": 3**0.5, "b": 17**0.5, None: 1, "z": 0}))
+    assert [r[2] for r in rows] == list(range(484)) and {r[0] for r in rows[-5:]} == {"z"}
+    assert {r[:2] for r in rows} == {(n, i) for n, b in blocks.items() for i in range(b)}
+    assert all(release <= slot < deadline for _, _, slot, release, deadline in rows)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
