@@ -34,6 +34,12 @@ def word_tokens(spark, sf_dir):
     return _words(spark, sf_dir).where("pos <= 3")
 
 
+@query(_WORDS)
+def word_tokens_all(spark, sf_dir):
+    """Every word of each line."""
+    return _words(spark, sf_dir)
+
+
 @query("SELECT doc_id, count(*) AS n_signs, CAST(sum(CASE WHEN s LIKE '%-' OR s LIKE '%.' THEN 1 ELSE 0 END) AS BIGINT) AS n_marked FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^-. ]+[-. ]?')) AS s FROM documents) GROUP BY doc_id")
 def sign_tokens(spark, sf_dir):
     s = text.signs(table(spark, sf_dir, "documents"), "text", "doc_id")

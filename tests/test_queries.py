@@ -43,3 +43,11 @@ def test_query(spark, duck, name):
     got, want = registry.QUERIES[name](spark, SF).toPandas(), duck.sql(registry.ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert bag(got) == bag(want)
+
+
+def test_all_words(spark):
+    """Every word with its line and place, against plain Python."""
+    docs = pd.read_parquet(f"{SF}/documents.parquet", columns=["doc_id", "text"])
+    want = [(k, i, j, w) for k, t in docs.itertuples(index=False) if t is not None for i, line in enumerate(t.split("\n"), 1) for j, w in enumerate(filter(None, line.split(" ")), 1)]
+    got = [tuple(r) for r in registry.QUERIES["word_tokens_all"](spark, SF).collect()]
+    assert sorted(got) == sorted(want) and max(r[2] for r in got) > 3
