@@ -154,6 +154,17 @@ def gazetteer_tag(spark, sf_dir):
     return counted.join(tokens("benchmark", "item_id").distinct(), "word").groupBy("item_id").agg(F.sum("n").alias("n"))
 
 
+@query("SELECT item_id, CAST(sum(n) AS BIGINT) AS n FROM (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[^ \\n]+')) AS word FROM documents) GROUP BY word) d JOIN (SELECT DISTINCT item_id, unnest(regexp_extract_all(text, '[^ \\n]+')) AS word FROM benchmark) b USING (word) GROUP BY item_id")
+def gazetteer_tag_all(spark, sf_dir):
+    """Exact matches of words of any length."""
+
+    def tokens(name, *keys):
+        return table(spark, sf_dir, name).select(*keys, F.explode(F.regexp_extract_all("text", F.lit("[^ \\n]+"), F.lit(0))).alias("word"))
+
+    counted = tokens("documents").groupBy("word").agg(F.count("*").alias("n"))  # before the join: one row a word
+    return counted.join(tokens("benchmark", "item_id").distinct(), "word").groupBy("item_id").agg(F.sum("n").alias("n"))
+
+
 @query("""WITH c AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^ \\n]+')) AS term FROM documents) GROUP BY 1, 2), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1), n AS (SELECT count(*) AS n FROM documents),
 w AS (SELECT doc_id, term, tf, round(tf * ln(CAST(n AS DOUBLE) / df), 6) AS weight FROM c JOIN f USING (term), n)
 SELECT doc_id, term, tf, weight FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS r FROM w) WHERE r <= 3""")

@@ -2,6 +2,8 @@
 
 import glob
 import os
+import re
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -51,3 +53,11 @@ def test_all_words(spark):
     want = [(k, i, j, w) for k, t in docs.itertuples(index=False) if t is not None for i, line in enumerate(t.split("\n"), 1) for j, w in enumerate(filter(None, line.split(" ")), 1)]
     got = [tuple(r) for r in registry.QUERIES["word_tokens_all"](spark, SF).collect()]
     assert sorted(got) == sorted(want) and max(r[2] for r in got) > 3
+
+
+def test_all_gazetteer_matches(spark):
+    """Matches of every word, short ones too, against plain Python."""
+    docs, items = (pd.read_parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
+    n = Counter(w for t in docs.text.dropna() for w in re.findall("[^ \n]+", t))
+    want = {k: sum(n[w] for w in words) for k, t in zip(items.item_id, items.text) if (words := set(re.findall("[^ \n]+", t)) & n.keys())}
+    assert {r.item_id: r.n for r in registry.QUERIES["gazetteer_tag_all"](spark, SF).collect()} == want
