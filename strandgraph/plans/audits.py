@@ -35,6 +35,14 @@ def bag_equal(spark, sf_dir):
     return audit.bag_diff(a, b, ["k"])
 
 
+@query("SELECT coalesce(a.k, b.k) AS k, coalesce(n_a, 0) AS n_a, coalesce(n_b, 0) AS n_b FROM (SELECT o_orderkey AS k, count(*) AS n_a FROM orders GROUP BY 1) a FULL JOIN (SELECT DISTINCT l_orderkey AS k, 1 AS n_b FROM lineitem) b ON a.k = b.k WHERE coalesce(n_a, 0) <> coalesce(n_b, 0)")
+def bag_equal_keys(spark, sf_dir):
+    """The bag audit on the keys themselves: every order without lineitems, and the reverse, by its key."""
+    a = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    b = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct()
+    return audit.bag_diff(a, b, ["k"])
+
+
 @query("SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity < 25 EXCEPT ALL SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity >= 25")
 def bag_except(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
