@@ -54,8 +54,8 @@ def stratified(rows: DataFrame, stratum: str, key: str, k: int, seed: str) -> Da
     return top_k(rows, [stratum], [F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))).asc()], k)
 
 
-def min_label_components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(id, label): the smallest id that each id reaches; stops when no label changes.  Lineage is cut by checkpoint."""
+def min_label_components(edges: DataFrame) -> DataFrame:
+    """(id, label): the smallest id that each id reaches; stops only when no label changes, so rounds grow with the longest path.  Lineage is cut by checkpoint."""
     spark = edges.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         import tempfile
@@ -63,7 +63,7 @@ def min_label_components(edges: DataFrame, rounds: int = 30) -> DataFrame:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     labels = both.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id"))
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, F.col("b") == F.col("id")).groupBy(F.col("a").alias("x")).agg(F.min("label").alias("m"))
         new = labels.join(near, F.col("id") == F.col("x"), "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
         new = new.checkpoint()

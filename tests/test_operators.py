@@ -106,3 +106,9 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_components_of_a_long_chain(spark):
+    """A chain of more than 30 links has one label."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 36)], "a long, b long")
+    assert {r.label for r in stats.min_label_components(edges).collect()} == {1}
