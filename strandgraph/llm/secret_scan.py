@@ -1,10 +1,11 @@
 """Secret scan by one combined, minimised deterministic automaton.
 
-The rules' regular expressions become one Thompson automaton, subset construction makes it deterministic,
-partition refinement minimises it, and its transition array is applied to the texts' UTF-8 bytes in a single
-pass for all rules.  Bytes that lead from every state to the start state cut the texts into stretches that
-no match can cross; the pass runs over many stretches at once.  Where the automaton accepts, the rules that
-it names fix the exact spans inside that stretch.
+The rules' regular expressions become one Thompson automaton, subset construction makes it deterministic, and
+partition refinement minimises it.  The scan runs it backwards: the automaton of the reversed expressions goes over
+the texts' UTF-8 bytes once, from the last to the first, and its accept bits at a byte name the rules of which a
+match starts there.  Bytes that lead from every state to the start state cut the texts into stretches that no match
+can cross; the pass runs over many stretches at once.  From the starts, leftmost first and past the end of the match
+before, a second transition array (the same rules, anchored) gives the longest match and its tail's length.
 
 Edge cases: null and empty texts have no spans; an empty table gives an empty result; repeated rows each give
 a row; other columns are ignored, whatever their names; there is no limit on text or match length.
@@ -13,7 +14,6 @@ a row; other columns are ignored, whatever their names; there is no limit on tex
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import deque
 from dataclasses import dataclass
 
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bound_batches, pieces, utf8_buffers
+from .common import bound_batches, lean, pieces, utf8_buffers
 
 
 @dataclass(frozen=True)
@@ -34,11 +34,9 @@ class Rule:
     least: int
 
     @property
-    def regex(self) -> re.Pattern:
-        return re.compile(f"(?:{self.head})({self.tail}+)".encode("latin-1"))
-
-    def probe(self, most: int) -> str:
-        return f"(?:{self.head}){self.tail}{{{min(self.least, most)}}}"
+    def regex(self) -> str:
+        """The whole match.  A rule without a head counts its tail here, since a shorter run can't hide a longer one."""
+        return f"(?:{self.head}){self.tail}+" if self.head else f"{self.tail}{{{self.least}}}{self.tail}*"
 
 
 _KEYWORD = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
@@ -69,6 +67,13 @@ class _Nfa:
         self.edges.append([])
         return len(self.edges) - 1
 
+    def reverse(self) -> None:
+        turned: list[list[tuple[frozenset | None, int]]] = [[] for _ in self.edges]
+        for a, edges in enumerate(self.edges):
+            for s, b in edges:
+                turned[b].append((s, a))
+        self.edges = turned
+
     def parse(self, pattern: str) -> tuple[int, int]:
         self.p, self.i = pattern, 0
         return self._either()
@@ -159,21 +164,32 @@ class _Nfa:
 
 
 class Automaton:
-    """Byte classes, ``next`` (states x classes), ``accept`` (a bit for each rule) and ``resets`` (256 booleans)."""
+    """Byte classes, ``next`` (states x classes), ``accept`` (a bit for each rule) and ``resets`` (256 booleans).
+
+    backwards: of the reversed expressions, where a match may end at any byte; else anchored at the start state."""
 
-    def __init__(self, rules: tuple[Rule, ...], most: int = 2):
+    def __init__(self, rules: tuple[Rule, ...], backwards: bool):
         nfa = _Nfa()
-        root, ends = nfa.state(), {}
-        for k, r in enumerate(rules):
-            a, b = nfa.parse(r.probe(most if r.head else r.least))
-            nfa.edges[root].append((None, a))
-            ends[b] = 1 << k
+        ends = [nfa.parse(r.regex) for r in rules]
+        if backwards:
+            nfa.reverse()
+            ends = [(b, a) for a, b in ends]
+        bits: dict[int, int] = {}
+        for k, (_, b) in enumerate(ends):
+            bits[b] = 1 << k
         self.classes = self._byte_classes(nfa)
-        moves, accept = self._subsets(nfa, root, ends)
+        moves, accept = self._subsets(nfa, [a for a, _ in ends], bits, backwards)
         self.next, self.accept = self._minimise(moves, accept)
         self.resets = (self.next == 0).all(axis=0)[self.classes] if not self.accept[0] else np.zeros(256, bool)
-        self.shortest = min(self._shortest(r) for r in rules)
-        self.bytewise = [bytes(row) if len(self.next) < 256 else row for row in self.next[:, self.classes].tolist()]
+        self.bytewise = self.next[:, self.classes].tolist()
+        self.bits = self.accept.tolist()
+        live = self.accept > 0
+        while True:  # states from which some match can still come
+            more = live | live[self.next].any(axis=1)
+            if (more == live).all():
+                break
+            live = more
+        self.live = live.tolist()
 
     @staticmethod
     def _byte_classes(nfa) -> np.ndarray:
@@ -182,7 +198,7 @@ class Automaton:
         names: dict[tuple, int] = {}
         return np.array([names.setdefault(tuple(b in s for s in sets), len(names)) for b in range(256)], np.uint8)
 
-    def _subsets(self, nfa, root, ends):
+    def _subsets(self, nfa, roots, ends, anywhere):
         def closed(states):
             seen, todo = set(states), list(states)
             while todo:
@@ -193,13 +209,14 @@ class Automaton:
             return frozenset(seen)
 
         sample = {int(c): b for b, c in reversed(list(enumerate(self.classes)))}
-        start = closed([root])  # every step adds it: a match may begin at any byte
+        start = closed(roots)
+        again = start if anywhere else frozenset()  # every step adds it: a match may begin at any byte
         number, moves, todo = {start: 0}, [], deque([start])
         while todo:
             now = todo.popleft()
             row = []
             for c in range(len(sample)):
-                to = start | closed([t for q in now for s, t in nfa.edges[q] if s is not None and sample[c] in s])
+                to = again | closed([t for q in now for s, t in nfa.edges[q] if s is not None and sample[c] in s])
                 if to not in number:
                     number[to] = len(number)
                     todo.append(to)
@@ -228,88 +245,97 @@ class Automaton:
         first = np.array([np.flatnonzero(block == b)[0] for b in range(len(order))])
         return block[moves[first]].astype(np.int32), accept[first].astype(np.uint16)
 
-    @staticmethod
-    def _shortest(rule: Rule) -> int:
-        """Bytes of the rule's shortest match that counts."""
-        nfa = _Nfa()
-        start, end = nfa.parse(rule.probe(rule.least))
-        reach, n = {start}, 0
-        while True:
-            todo = list(reach)
-            while todo:
-                for s, t in nfa.edges[todo.pop()]:
-                    if s is None and t not in reach:
-                        reach.add(t)
-                        todo.append(t)
-            if end in reach:
-                return n
-            reach, n = {t for q in reach for s, t in nfa.edges[q] if s is not None}, n + 1
-
-    def stretches(self, data: np.ndarray, offsets: np.ndarray, few: int = 32):
-        """Start, end and accepted rules of each stretch between reset bytes in which some rule accepts."""
-        if not len(data):
-            return
-        cut = self.resets[data]
-        border = np.zeros(len(data) + 1, bool)
-        border[:-1] = cut
-        border[1:] |= cut
-        border[offsets] = True
-        edges = np.flatnonzero(border)
-        begin, size = edges[:-1], np.diff(edges)
-        keep = size >= self.shortest
-        begin, size = begin[keep], size[keep]
-        order = np.argsort(-size, kind="stable")
-        begin, size = begin[order], size[order]
-        live = np.searchsorted(-size, -np.arange(1, (int(size[0]) if len(size) else 0) + 1), "right")
-        width = self.next.shape[1]
-        flat, classes = (self.next * width).astype(np.int32).reshape(-1), self.classes[data].astype(np.int32)
-        accept = self.accept
-        hits, state, place = np.zeros(len(begin), np.uint16), np.zeros(len(begin), np.int32), begin.copy()
-        done = 0
-        for k in live:
-            if k < few:
+    def starts(self, data: np.ndarray, offsets: np.ndarray, shortest: int, few: int = 32) -> tuple[np.ndarray, np.ndarray]:
+        """Positions at which some rule's match starts, ascending, and the rules' bits; of the backwards automaton."""
+        places, marks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+        if len(data):
+            cut = self.resets[data]
+            border = np.zeros(len(data) + 1, bool)
+            border[:-1] = cut
+            border[1:] |= cut
+            border[offsets] = True
+            edges = np.flatnonzero(border)
+            begin, size = edges[:-1], np.diff(edges)
+            keep = size >= shortest
+            begin, size = begin[keep], size[keep]
+            order = np.argsort(-size, kind="stable")
+            begin, size = begin[order], size[order]
+            live = np.searchsorted(-size, -np.arange(1, (int(size[0]) if len(size) else 0) + 1), "right")
+            width = self.next.shape[1]
+            flat, classes = (self.next * width).astype(np.int32).reshape(-1), self.classes[data].astype(np.int32)
+            accept = np.repeat(self.accept, width)
+            state, place, done = np.zeros(len(begin), np.int32), begin + size - 1, 0
+            for k in live:
+                if k < few:
+                    break
+                state = flat[state[:k] + classes[place[:k]]]
+                got = accept[state]
+                if got.any():
+                    at = np.flatnonzero(got)
+                    places.append(place[at])
+                    marks.append(got[at])
+                place = place[:k] - 1
+                done += 1
+            if len(live) > done:
+                raw, rows, bits = data.tobytes(), self.bytewise, self.bits
+                for j in range(int(live[done])):
+                    q, last = (int(state[j]) // width if done else 0), int(begin[j] + size[j]) - done
+                    long_places, long_marks = [], []
+                    for i in range(last - 1, int(begin[j]) - 1, -1):
+                        q = rows[q][raw[i]]
+                        if bits[q]:
+                            long_places.append(i)
+                            long_marks.append(bits[q])
+                    places.append(np.array(long_places, np.int64))
+                    marks.append(np.array(long_marks, np.uint16))
+        place, mark = np.concatenate(places), np.concatenate(marks)
+        order = np.argsort(place, kind="stable")
+        return place[order], mark[order]
+
+    def longest(self, raw: bytes, start: int, end: int, bit: int) -> tuple[int, int]:
+        """Ends of the shortest and of the longest match of the rule ``bit`` from ``start``; of the anchored automaton."""
+        q, first, last = 0, 0, 0
+        rows, bits, live = self.bytewise, self.bits, self.live
+        for i in range(start, end):
+            q = rows[q][raw[i]]
+            if bits[q] & bit:
+                first, last = first or i + 1, i + 1
+            elif not live[q]:
                 break
-            state = flat[state[:k] + classes[place[:k]]]
-            hits[:k] |= accept[state // width]
-            place = place[:k] + 1
-            done += 1
-        if len(live) > done:
-            raw = data.tobytes()
-            for j in range(int(live[done])):
-                q = int(state[j]) // width if done else 0
-                got = 0
-                for b in raw[begin[j] + done : begin[j] + size[j]]:
-                    q = self.bytewise[q][b]
-                    if accept[q]:
-                        got |= int(accept[q])
-                hits[j] |= got
-        for j in np.flatnonzero(hits):
-            yield int(begin[j]), int(begin[j] + size[j]), int(hits[j])
+        return first, last
 
 
 class Scanner:
+    """Both automata of a set of rules (16 at most)."""
+
     def __init__(self, rules: tuple[Rule, ...] = BASE + EXTRA):
-        self.rules, self.automaton = rules, Automaton(rules)
-        self.regexes = [r.regex for r in rules]
+        self.rules = rules
+        self.backwards, self.anchored = Automaton(rules, True), Automaton(rules, False)
+        self.shortest = 1 + min(len(r.head) > 0 or r.least - 1 for r in rules)
 
     def spans(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
         """For each document with a match: (start, rule, end) in code points, in order."""
-        found: dict[int, list] = {}
-        for a, b, hits in self.automaton.stretches(data, offsets):
-            doc = int(np.searchsorted(offsets, a, "right")) - 1
-            raw = data[a:b].tobytes()
-            before = -1
-            for k, r in enumerate(self.rules):
-                if hits >> k & 1:
-                    for m in self.regexes[k].finditer(raw):
-                        if len(m[1]) >= r.least:
-                            if before < 0:
-                                before = int(np.count_nonzero((data[offsets[doc] : a] & 0xC0) != 0x80))
-                            start = before + len(raw[: m.start()].decode("utf-8", "replace"))
-                            found.setdefault(doc, []).append((start, k, start + m.end() - m.start()))
-        for spans in found.values():
+        places, marks = self.backwards.starts(data, offsets, self.shortest)
+        if not len(places):
+            return {}
+        raw, found = data.tobytes(), []
+        owner = np.searchsorted(offsets, places, "right") - 1
+        for k, r in enumerate(self.rules):
+            mine = np.flatnonzero(marks >> k & 1)
+            before = 0
+            for start, doc in zip(places[mine].tolist(), owner[mine].tolist()):
+                if start >= before:  # else inside the match before, also a short one
+                    first, before = self.anchored.longest(raw, start, int(offsets[doc + 1]), 1 << k)
+                    if not r.head or before - first + 1 >= r.least:
+                        found.append((doc, start, k, before))
+        out: dict[int, list] = {}
+        letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if found else None
+        for doc, start, k, end in found:
+            zero = letters[offsets[doc]]
+            out.setdefault(doc, []).append((int(letters[start] - zero), k, int(letters[end] - zero)))
+        for spans in out.values():
             spans.sort()
-        return found
+        return out
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
@@ -329,7 +355,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], ["key", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, f"key {kind}, spans array<struct<kind:string,start:int,end:int>>")
+    return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(lean(run), f"key {kind}, spans array<struct<kind:string,start:int,end:int>>")
 
 
 def redact(text: str, spans: list[tuple[int, int]], mark: str = "[secret]") -> str:
