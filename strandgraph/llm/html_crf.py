@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, lean
 
 #: Fixed values of the markup language.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea svg iframe object title select".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<(?=[a-zA-Z/!?])[^<]*\Z", re.S)
+#: An attribute's value is quoted, or ends at white space or the tag's end; a quote that nothing closes is part of it.
+_PAIRS = r"(?>[\s/]+|[^\s>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?|=)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_PAIRS})>|<(?=[a-zA-Z/!?])[^<]*\Z", re.S)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>|</{t}\Z", re.I) for t in _RAW}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -85,9 +87,12 @@ def blocks(page: str | None) -> list[Block]:
                 end = _RAW_END[tag].search(page, at)
                 at = end.end() if end else n
             continue
-        if tag == "br" or tag == "hr":
+        if tag == "br":
             parts.append(" ")
             continue
+        if tag == "hr":
+            flush()
+            continue
         if tag in _VOID:
             continue
         if tag in _INLINE:
@@ -355,4 +360,4 @@ def extract(pages: DataFrame, markup: str = "html", crf: Crf | None = None) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col(markup).alias("html")).mapInArrow(run, f"page_id {kind}, url string, text string")
+    return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col(markup).alias("html")).mapInArrow(lean(run), f"page_id {kind}, url string, text string")
