@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialise
+from .common import bound_batches, lean, materialise
 
 #: n-grams in a language's profile and in a document's ranking; documents learned from for each language.
 PROFILE, RANKED, PER_LANGUAGE = 400, 300, 2000
@@ -81,9 +81,14 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
                 counts = np.bincount(at, np.concatenate([c for _, c in parts])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(grams), pa.array(counts)], ["name", "gram", "n"])
 
-    counts = usable.where(drawn).select(F.col(lang).alias("name"), F.col(text).alias("text")).mapInArrow(count, "name string, gram long, n long")
+    counts = usable.where(drawn).select(F.col(lang).alias("name"), F.col(text).alias("text")).mapInArrow(lean(count), "name string, gram long, n long")
     counts = materialise(counts.groupBy("name", "gram").agg(F.sum("n").alias("n")), "ngrams")
-    return {name: [r["gram"] for r in counts.where(F.col("name") == name).orderBy(F.desc("n"), "gram").limit(profile).collect()] for name in sorted(sizes)}
+    best = Window.partitionBy("name").orderBy(F.desc("n"), "gram")
+    rows = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= profile).orderBy("name", "place")
+    out: dict[str, list[int]] = {name: [] for name in sorted(sizes)}
+    for r in rows.toLocalIterator():  # ``profile`` rows for each language
+        out[r["name"]].append(r["gram"])
+    return out
 
 
 class Profiles:
@@ -132,4 +137,4 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text"
             got = [model.predict(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["key", "lang_pred", "score"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, lang_pred string, score double")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(lean(run), f"key {docs.schema[key].dataType.simpleString()}, lang_pred string, score double")
