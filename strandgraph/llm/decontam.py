@@ -6,9 +6,10 @@ rarest word, so only documents' occurrences of such words are candidates.  The w
 gives the positional bound (where the window would start), the document's length the other bound, and the
 candidate is compared word by word.
 
-The corpus counts are a map-side count of benchmark words, summed.  Windows go to executors in blocks of at
-most ``block_bytes`` of item text; one pass over the documents handles a block, and blocks are chained without
-a shuffle, so the benchmark may be of any size.
+The corpus counts are a map-side count of benchmark words, summed.  The windows go to executors as flat arrays, in
+blocks of at most ``block_bytes`` of item text (an index of about 15 times that); one pass over the documents handles
+a block.  A benchmark of more blocks costs two passes for each, with the documents written between them, so no worker
+ever holds two blocks.
 
 Edge cases: null and empty texts have no words and aren't contaminated; an item without words has no window;
 rows that repeat an item_id count once; a null item_id is never reported as an id, but its windows do hit;
@@ -18,48 +19,44 @@ an empty benchmark leaves every document clean; other columns are ignored, whate
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytescan import ALNUM, LOWER, word_hashes, words
-from .common import bound_batches, pieces, utf8_buffers
+from .bytescan import ALNUM, LOWER, runs, word_hashes, words
+from .common import bound_batches, lean, materialise, pieces, utf8_buffers
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: Item text that one pass holds in memory.
-BLOCK_BYTES = 32 << 20
+#: Item text whose windows one pass holds in memory.
+BLOCK_BYTES = 8 << 20
 
 
-def item_words(text: str | None) -> list[bytes]:
-    return _WORD.findall(bytes(LOWER[np.frombuffer((text or "").encode(), np.uint8)]))
-
-
-def _hash_of(vocabulary: list[bytes]) -> np.ndarray:
-    """The scan's hash of each word."""
-    data, offsets = utf8_buffers(pa.array([w.decode("utf-8", "surrogateescape") for w in vocabulary])) if vocabulary else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
-    starts, ends, _ = words(data, offsets, ALNUM)
-    return word_hashes(data, starts, ends, ALNUM)
+def _lowered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = utf8_buffers(pa.array(texts, pa.string()))
+    return LOWER[data], offsets
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
-    """Lists of (item_id, words), each of at most ``block_bytes`` of text or one longer item."""
+    """Lists of (item_id, text), each of at most ``block_bytes`` of text or one longer item."""
     rows, size = [], 0
-    for r in benchmark.select("item_id", "text").orderBy("item_id").toLocalIterator():
-        tokens = item_words(r["text"])
-        if tokens:
-            if rows and size + len(r["text"]) > block_bytes:
-                yield rows
-                rows, size = [], 0
-            rows.append((r["item_id"], tokens))
-            size += len(r["text"])
+    for r in benchmark.where("text IS NOT NULL").select("item_id", "text").orderBy("item_id").toLocalIterator():
+        if rows and size + len(r["text"]) > block_bytes:
+            yield rows
+            rows, size = [], 0
+        rows.append((r["item_id"], r["text"]))
+        size += len(r["text"])
     if rows:
         yield rows
 
 
+def _vocabulary(texts: list[str | None]) -> np.ndarray:
+    """The sorted hashes of the texts' words."""
+    data, offsets = _lowered(texts)
+    starts, ends, _ = words(data, offsets, ALNUM)
+    return np.unique(word_hashes(data, starts, ends, ALNUM))
+
+
 def _frequency(docs: DataFrame, text: str, vocabulary: np.ndarray) -> np.ndarray:
     """How often the whole corpus holds each word of the sorted hash array."""
     wanted = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -79,36 +76,74 @@ def _frequency(docs: DataFrame, text: str, vocabulary: np.ndarray) -> np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["word", "n"])
 
     counted = np.zeros(len(vocabulary), np.int64)
-    for r in docs.select(F.col(text).alias("text")).mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in docs.select(F.col(text).alias("text")).mapInArrow(lean(run), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator():
         counted[r["word"]] = r["n"]
     return counted
 
 
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words with one space after each, and where each begins (and the end), so that windows compare as slices."""
+    size = ends - starts
+    at = np.concatenate([[0], np.cumsum(size + 1)])
+    out = np.full(int(at[-1]), 0x20, np.uint8)
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at[:-1], size) + place] = data[np.repeat(starts, size) + place]
+    return out.tobytes(), at
+
+
 class Windows:
-    """The windows of a block of items, indexed by the hash of their rarest word."""
-
-    def __init__(self, items, window: int, rank: dict[bytes, int]):
-        owners: dict[tuple, set] = defaultdict(set)
-        for item_id, tokens in items:
-            n = min(window, len(tokens))
-            for i in range(len(tokens) - n + 1):
-                owners[tuple(tokens[i : i + n])].add(item_id)
-        by_word: dict[bytes, list] = defaultdict(list)
-        for tokens, ids in owners.items():
-            rare = min(range(len(tokens)), key=lambda k: (rank.get(tokens[k], 0), tokens[k], k))
-            by_word[tokens[rare]].append((rare, len(tokens), b" ".join(tokens), sorted(x for x in ids if x is not None)))
-        names = sorted(by_word)
-        hashes = _hash_of(names)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.lists = []
-        for k in order:
-            grouped: dict[tuple, dict] = defaultdict(dict)
-            for place, n, joined, ids in by_word[names[k]]:
-                grouped[place, n][joined] = ids
-            self.lists.append([(place, n, texts) for (place, n), texts in sorted(grouped.items())])
-        self.filter = np.zeros(1 << 16, bool)
-        self.filter[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
+    """The distinct windows of a block of items as arrays, found by the hash of their rarest word.
+
+    A rare word has some ways (place in the window, words of the window); each window belongs to one."""
+
+    def __init__(self, items: list[tuple], window: int, vocabulary: np.ndarray, counted: np.ndarray):
+        data, offsets = _lowered([t for _, t in items])
+        starts, ends, owner = words(data, offsets, ALNUM)
+        h = word_hashes(data, starts, ends, ALNUM)
+        self.text, self.at = _joined(data, starts, ends)
+        rank = np.empty(len(vocabulary), np.int64)
+        rank[np.lexsort((vocabulary, counted))] = np.arange(len(vocabulary))  # rarest first, ties by hash
+        rank = rank[np.searchsorted(vocabulary, h)]
+        size = np.bincount(owner, minlength=len(items))
+        parts = []
+        for n in np.unique(np.minimum(size[size > 0], window)).tolist():
+            whole = runs(h, n)
+            mine = np.flatnonzero((owner[: len(whole)] == owner[n - 1 :]) & (np.minimum(size, window)[owner[: len(whole)]] == n))
+            rare = np.lib.stride_tricks.sliding_window_view(rank, n)[mine].argmin(axis=1)
+            parts.append((whole[mine], np.full(len(mine), n), mine, rare))
+        none = [np.zeros(0, np.uint64)] + [np.zeros(0, np.int64)] * 3
+        code, n, begin, rare = (np.concatenate(x) for x in zip(none, *parts))
+        # one entry for each distinct window; windows of equal hash that differ as text stay apart
+        order = np.lexsort((begin, code))
+        code, n, begin, rare = code[order], n[order], begin[order], rare[order]
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        for i in np.flatnonzero(~new):
+            new[i] = self._slice(begin[i], n[i]) != self._slice(begin[i - 1], n[i - 1])
+        kept = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        pairs = np.unique(np.column_stack([group, owner[begin]]).astype(np.int64), axis=0) if len(group) else np.zeros((0, 2), np.int64)
+        self.item_first = np.searchsorted(pairs[:, 0], np.arange(len(kept) + 1))
+        self.items = pairs[:, 1].astype(np.int32)
+        self.ids = [i for i, _ in items]
+        self.code, self.n, self.begin = code[kept], n[kept].astype(np.int32), begin[kept]
+        word = h[self.begin + rare[kept]]
+        ways = np.column_stack([word, rare[kept].astype(np.uint64), self.n.astype(np.uint64)])
+        ways, way = np.unique(ways, axis=0, return_inverse=True) if len(kept) else (np.zeros((0, 3), np.uint64), np.zeros(0, np.int64))
+        self.way = way.reshape(-1).astype(np.int32)
+        self.way_place, self.way_n = ways[:, 1].astype(np.int64), ways[:, 2].astype(np.int64)
+        self.hashes, at = np.unique(ways[:, 0], return_index=True)
+        self.way_first = np.concatenate([at, [len(ways)]])
+        self.filter = np.zeros(1 << 20, bool)
+        self.filter[(self.hashes & np.uint64(0xFFFFF)).astype(np.int64)] = True
+
+    def _slice(self, begin: int, n: int) -> bytes:
+        return self.text[self.at[begin] : self.at[begin + n]]
+
+    @property
+    def bytes(self) -> int:
+        arrays = (self.at, self.item_first, self.items, self.code, self.n, self.begin, self.way, self.way_place, self.way_n, self.hashes, self.way_first, self.filter)
+        return len(self.text) + sum(x.nbytes for x in arrays)
 
     def hits(self, data: np.ndarray, offsets: np.ndarray):
         """Words of each document, then for documents with hits: (first word, end) runs and the item ids."""
@@ -116,25 +151,38 @@ class Windows:
         starts, ends, doc = words(data, offsets, ALNUM)
         n_words = np.bincount(doc, minlength=len(offsets) - 1)
         found: dict[int, tuple[list, set]] = {}
-        if len(starts) and len(self.hashes):
-            h = word_hashes(data, starts, ends, ALNUM)
-            maybe = np.flatnonzero(self.filter[(h & np.uint64(0xFFFF)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
-            good = self.hashes[at] == h[maybe]
-            first = np.concatenate([[0], np.cumsum(n_words)])
-            raw = data.tobytes()
-            for w, k in zip(maybe[good].tolist(), at[good].tolist()):
-                d = int(doc[w])
-                lo, hi = int(first[d]), int(first[d + 1])
-                for place, n, texts in self.lists[k]:
-                    a = w - place
-                    if lo <= a and a + n <= hi:  # positional and length bounds
-                        got = b" ".join([raw[starts[x] : ends[x]] for x in range(a, a + n)])
-                        ids = texts.get(got)
-                        if ids is not None:
-                            runs, names = found.setdefault(d, ([], set()))
-                            runs.append((a - lo, a - lo + n))
-                            names.update(ids)
+        if not len(starts) or not len(self.hashes):
+            return n_words, found
+        h = word_hashes(data, starts, ends, ALNUM)
+        maybe = np.flatnonzero(self.filter[(h & np.uint64(0xFFFFF)).astype(np.int64)])
+        rare = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
+        good = self.hashes[rare] == h[maybe]
+        place, rare = maybe[good], rare[good]
+        many = self.way_first[rare + 1] - self.way_first[rare]
+        way = np.repeat(self.way_first[rare], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        word = np.repeat(place, many)
+        first = np.concatenate([[0], np.cumsum(n_words)])
+        a, n = word - self.way_place[way], self.way_n[way]
+        inside = (a >= first[doc[word]]) & (a + n <= first[doc[word] + 1])  # positional and length bounds
+        a, n, way = a[inside], n[inside], way[inside]
+        text = at = None
+        for size in np.unique(n).tolist():
+            mine = np.flatnonzero(n == size)
+            codes = runs(h, size)[a[mine]]
+            low = np.minimum(np.searchsorted(self.code, codes), len(self.code) - 1)
+            same = self.code[low] == codes
+            for i, k, code in zip(mine[same].tolist(), low[same].tolist(), codes[same]):
+                if text is None:
+                    text, at = _joined(data, starts, ends)
+                begin = int(a[i])
+                got = text[at[begin] : at[begin + size]]
+                while k < len(self.code) and self.code[k] == code:  # word by word
+                    if self.way[k] == way[i] and self._slice(self.begin[k], size) == got:
+                        d = int(doc[begin])
+                        spans, names = found.setdefault(d, ([], set()))
+                        spans.append((begin - int(first[d]), begin - int(first[d]) + size))
+                        names.update(x for j in self.items[self.item_first[k] : self.item_first[k + 1]].tolist() if (x := self.ids[j]) is not None)
+                    k += 1
         return n_words, found
 
 
@@ -148,23 +196,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     run_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
     state = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("array()").cast("array<struct<a:int,b:int>>").alias("runs"), F.expr("array()").cast("array<long>").alias("items"))
     schema = f"key {docs.schema[key].dataType.simpleString()}, text string, {_STATE}"
-    for items in _blocks(benchmark, block_bytes) if len(benchmark.take(1)) else []:
-        vocabulary = sorted({w for _, tokens in items for w in tokens})
-        hashes = _hash_of(vocabulary)
-        order = np.argsort(hashes, kind="stable")
-        counted = _frequency(docs, text, hashes[order])
-        rank = {vocabulary[k]: int(n) for k, n in zip(order, counted)}
-        shared = spark.sparkContext.broadcast(Windows(items, window, rank))
-        state = state.mapInArrow(_pass(shared, run_type), schema)
-    if not state.columns or not _has_words(benchmark):
-        state = state.mapInArrow(_pass(spark.sparkContext.broadcast(Windows([], window, {})), run_type), schema)
+    done = 0
+    for items in _blocks(benchmark, block_bytes):
+        vocabulary = _vocabulary([t for _, t in items])
+        counted = _frequency(docs, text, vocabulary) if len(vocabulary) else np.zeros(0, np.int64)
+        if done:
+            state = materialise(state, "decontaminated")
+        state = state.mapInArrow(lean(_pass(spark.sparkContext.broadcast(Windows(items, window, vocabulary, counted)), run_type)), schema)
+        done += 1
+    if not done:  # the words are counted all the same
+        state = state.mapInArrow(lean(_pass(spark.sparkContext.broadcast(Windows([], window, np.zeros(0, np.uint64), np.zeros(0, np.int64))), run_type)), schema)
     return state.select("key", "n_words", "runs", "items")
 
 
-def _has_words(benchmark: DataFrame) -> bool:
-    return len(benchmark.where(F.col("text").rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")).take(1)) > 0
-
-
 def _pass(shared, run_type):
     def run(batches):
         index = shared.value
