@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SharedWriter, bound_batches, file_system, materialise, shared_folder
+from .common import SharedWriter, bound_batches, file_system, lean, materialise, shared_folder
 
 #: Archives are rolled at this size, so that a reader's task stays bounded.
 ROLL = 128 << 20
@@ -213,7 +213,7 @@ def write(pages: DataFrame, folder: str, least: int = 100, roll: int = ROLL) ->
             names.append(out.path)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["file"])
 
-    return materialise(roles(pages, least).mapInArrow(run, "file string"), "warc-files")
+    return materialise(roles(pages, least).mapInArrow(lean(run), "file string"), "warc-files")
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def _read(files: DataFrame, log: bool) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     spread = files.repartition(max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return spread.mapInArrow(run, _GAP_SCHEMA if log else _RECORD_SCHEMA)
+    return spread.mapInArrow(lean(run), _GAP_SCHEMA if log else _RECORD_SCHEMA)
 
 
 def _row(record: Record, path: str, start: int) -> tuple:
