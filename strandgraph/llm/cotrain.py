@@ -2,13 +2,16 @@
 
 View one sees only the text (byte rates, word and line statistics).  View two sees only the metadata: source,
 language and length of the row, and host, path and query of the page that the document came from, where one
-is known.  Each view is a logistic regression.  Over some rounds each labels the unlabelled documents that it
-is surest of, in the proportion of the true labels, for the other view to learn from.  Both are then
-calibrated on labelled documents that neither was trained on, and a logistic regression over the two
-calibrated log odds scores every document.
+is known.  Each view is a logistic regression, fitted first on the labelled documents.  In each round every
+unlabelled document that one view is sure of becomes a pseudo-label of the other view, which takes bounded Newton
+steps on the true and on all of these labels; the pseudo-labels of a class weigh together as ``TRUST`` of the true
+ones do.  The sums that a step needs (counts, gradients, curvatures) are added up on the executors over the whole corpus; the
+driver gets a few arrays of fixed size.  Both views are then calibrated on labelled documents that neither was
+trained on, and a logistic regression over the two calibrated log odds, fitted on a further part of them, scores
+every document.
 
-The models are fitted on the driver on at most about ``labelled`` labelled and ``pool`` unlabelled documents,
-drawn by a hash of the key; all documents are scored.
+The labelled documents that the driver fits on are at most about ``labelled``, drawn by a hash of the key; no
+other row is sampled or capped.
 
 Edge cases: a null or empty text has zero rates; null metadata is a value of its own; without labels of both
 kinds every document scores 0.5 and is kept; rows that repeat a key are scored alike if their columns are
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import NOT_SPACE, word_hashes, words
-from .common import bound_batches, materialise, pieces, utf8_buffers
+from .common import bound_batches, lean, materialise, pieces, sized, utf8_buffers
 
-#: Rows that the models are fitted on, in expectation; rounds of exchange; documents that a view hands over in one.
-LABELLED, POOL, ROUNDS, HANDED = 10_000, 10_000, 5, 200
+#: Labelled rows that the driver fits on, in expectation; rounds of exchange and steps in each; the log odds beyond
+#: the prior that a view must be sure by; the weight of all handed-over labels beside the true ones.
+LABELLED, ROUNDS, STEPS, SURE, TRUST = 10_000, 2, 2, 2.0, 0.2
 _META = 96
 _HOST_WORD = re.compile(r"[a-z0-9]+")
 
@@ -91,144 +96,201 @@ class Logistic:
     def __init__(self, ridge: float = 1.0):
         self.ridge = ridge
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 12) -> Logistic:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 12) -> Logistic:
         x = x.astype(np.float64)
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
-        weight = np.ones(len(x)) if weight is None else weight
-        penalty = np.full(z.shape[1], self.ridge)
-        penalty[-1] = 1e-6
+        z = self.columns(x)
+        self.penalty = np.full(z.shape[1], self.ridge)
+        self.penalty[-1] = 1e-6
         self.beta = np.zeros(z.shape[1])
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ self.beta, -30, 30)))
-            gradient = z.T @ (weight * (y - p)) - penalty * self.beta
-            hessian = (z * (weight * p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
-            self.beta += np.linalg.solve(hessian, gradient)
+            gradient = z.T @ (y - p) - self.penalty * self.beta
+            hessian = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(self.penalty)
+            self.beta = self.beta + np.linalg.solve(hessian, gradient)
         return self
 
+    def columns(self, x: np.ndarray) -> np.ndarray:
+        """The standardised columns and a constant one."""
+        return np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return np.clip(((x - self.mean) / self.scale) @ self.beta[:-1] + self.beta[-1], -30, 30)
 
 
+def sigmoid(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-odds))
+
+
 class CoTrained:
     """The two fitted views, their calibration and the combination."""
 
-    def __init__(self, text_x, meta_x, label, rounds: int = ROUNDS, handed: int = HANDED):
-        """label: 0, 1 or -1 for unlabelled.  Every third labelled row calibrates only."""
-        self.ready = False
-        known = np.flatnonzero(label >= 0)
-        held, used = known[::3], np.setdiff1d(known, known[::3])
-        if min(len(np.unique(label[held])), len(np.unique(label[used]))) < 2:
-            return
-        share = label[used].mean()
-        pool = np.flatnonzero(label < 0)
-        views = [text_x, meta_x]
-        marks: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view was given
+    def __init__(self, views: list[np.ndarray], label: np.ndarray):
+        """views: a row for each labelled document.  Of four, two train, one calibrates and one combines."""
+        part = np.arange(len(label)) % 4
+        self.ready = all(len(np.unique(label[at])) == 2 for at in (part < 2, part == 2, part == 3))
         self.exchanged = 0
-        for r in range(rounds + 1):
-            models = []
-            for v in (0, 1):
-                extra = np.array(sorted(marks[v]), np.int64)
-                rows = np.concatenate([used, extra])
-                y = np.concatenate([label[used], [marks[v][i] for i in extra.tolist()]])
-                weight = np.concatenate([np.ones(len(used)), np.full(len(extra), 0.5)])
-                models.append(Logistic().fit(views[v][rows], y, weight))
-            if r == rounds or not len(pool):
-                break
-            for v in (0, 1):
-                odds = models[v].log_odds(views[v][pool])
-                order = np.argsort(odds, kind="stable")
-                most = min(handed, len(pool) // 4)
-                low, high = max(1, int(most * (1 - share))), max(1, int(most * share))
-                for i in order[:low]:
-                    if odds[i] < -1.5:
-                        marks[1 - v].setdefault(int(pool[i]), 0)
-                for i in order[::-1][:high]:
-                    if odds[i] > 1.5:
-                        marks[1 - v].setdefault(int(pool[i]), 1)
-        self.exchanged = sum(map(len, marks))
-        self.models = models
-        both = np.column_stack([self._calibrated(v, views[v][held], label[held]) for v in (0, 1)])
-        self.final = Logistic().fit(both, label[held])
-        self.ready = True
-
-    def _calibrated(self, v: int, x, y=None) -> np.ndarray:
-        odds = self.models[v].log_odds(x)[:, None]
-        if y is not None:
-            self.platt = [*getattr(self, "platt", [])[:v], Logistic(0.1).fit(odds, y)]
-        return self.platt[v].log_odds(odds)
-
-    def text_odds(self, x) -> np.ndarray:
-        return self._calibrated(0, x) if self.ready else np.zeros(len(x))
-
-    def meta_odds(self, x) -> np.ndarray:
-        return self._calibrated(1, x) if self.ready else np.zeros(len(x))
-
-    def score(self, text_odds, meta_odds) -> np.ndarray:
         if not self.ready:
-            return np.full(len(text_odds), 0.5)
-        return 1 / (1 + np.exp(-self.final.log_odds(np.column_stack([text_odds, meta_odds]))))
+            return
+        self.label = label
+        self.true = [x[part < 2].astype(np.float64) for x in views]
+        self.true_label = label[part < 2]
+        self.rest = [[x[part == k] for x in views] for k in (2, 3)], [label[part == k] for k in (2, 3)]
+        self.models = [Logistic().fit(x, self.true_label) for x in self.true]
+
+    def sums(self, teachers: list[Logistic], views: list[np.ndarray]) -> np.ndarray:
+        """For each view and class the count, gradient and curvature over what the other view is sure of."""
+        out = []
+        share = self.true_label.mean()
+        for v in (0, 1):
+            evidence = teachers[1 - v].log_odds(views[1 - v]) - np.log(share / (1 - share))  # beyond what the labels' share says
+            z = self.models[v].columns(views[v])
+            p = sigmoid(np.clip(z @ self.models[v].beta, -30, 30))
+            for y, sure in ((0, evidence < -SURE), (1, evidence > SURE)):
+                zs = z[sure]
+                out += [[float(len(zs))], zs.T @ (y - p[sure]), (zs.T @ zs / 4).reshape(-1)]
+        return np.concatenate(out)
+
+    def step(self, sums: np.ndarray) -> None:
+        """A step of both views on the true labels and the pseudo-labels that ``sums`` adds up.  The curvature is its
+        upper bound (a quarter of the squares), so every step raises the likelihood."""
+        at, share, self.exchanged = 0, self.true_label.mean(), 0
+        for v in (0, 1):
+            m = self.models[v]
+            z = m.columns(self.true[v])
+            d = z.shape[1]
+            p = sigmoid(np.clip(z @ m.beta, -30, 30))
+            gradient = z.T @ (self.true_label - p) - m.penalty * m.beta
+            hessian = z.T @ z / 4 + np.diag(m.penalty)
+            for part in (1 - share, share):
+                n, g, h = sums[at], sums[at + 1 : at + 1 + d], sums[at + 1 + d : at + 1 + d + d * d]
+                at += 1 + d + d * d
+                if n:
+                    weight = TRUST * len(z) * part / n
+                    gradient += weight * g
+                    hessian += weight * h.reshape(d, d)
+                    self.exchanged += int(n)
+            m.beta = m.beta + np.linalg.solve(hessian, gradient)
+
+    def finish(self) -> None:
+        """Calibrates both views, then combines them."""
+        (fit, mix), (fit_y, mix_y) = self.rest
+        self.platt = [Logistic(0.1).fit(self.models[v].log_odds(fit[v])[:, None], fit_y) for v in (0, 1)]
+        self.final = Logistic().fit(np.column_stack([self.odds(v, mix[v]) for v in (0, 1)]), mix_y)
+        del self.true, self.true_label, self.rest, self.label
+
+    def odds(self, v: int, x: np.ndarray) -> np.ndarray:
+        return self.platt[v].log_odds(self.models[v].log_odds(x)[:, None])
+
+    def score(self, views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of the text view, the metadata view and both."""
+        if not self.ready:
+            return (np.full(len(views[0]), 0.5),) * 3
+        odds = [self.odds(v, views[v]) for v in (0, 1)]
+        return sigmoid(odds[0]), sigmoid(odds[1]), sigmoid(self.final.log_odds(np.column_stack(odds)))
 
 
 def page_urls(pages: DataFrame) -> DataFrame:
-    """key, url: the smallest URL of each document that has a page; a page names its document last in its path."""
+    """page_key, url: the smallest URL of each document that has a page; a page names its document last in its path."""
     key = F.regexp_extract(F.regexp_extract("url", "^[^?#]*", 0), "/(\\d{1,18})(?:\\.\\w+)?/?$", 1)
     return pages.select(F.when(key != "", key.cast("long")).alias("page_key"), "url").where("page_key IS NOT NULL").groupBy("page_key").agg(F.min("url").alias("url"))
 
 
-def _text_rows(docs: DataFrame, make, out: str, types: list) -> DataFrame:
-    """Maps (key, text features) batches; ``make`` gives the last column."""
+_TEXT = text_features(np.zeros(0, np.uint8), np.zeros(1, np.int64)).shape[1]
 
-    def run(batches):
-        for batch in batches:
-            data, offsets = utf8_buffers(batch.column(batch.num_columns - 1))
-            for i, j in pieces(offsets):
-                last = make(text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-                yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in batch.columns[:-1]], last], [f"c{k}" for k in range(batch.num_columns)])
-
-    return docs.mapInArrow(run, out)
-
-
-def sample(docs: DataFrame, labels: DataFrame, urls: DataFrame, text: str, key: str, target: str, labelled: int, pool: int):
-    """Features of the drawn documents as arrays: text, metadata, label."""
-    known = labels.where(F.col(target).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_key")).agg(F.min(F.col(target).cast("int")).alias("label"))
-    n_known, n_all = known.count(), docs.count()
-    draw = F.pmod(F.xxhash64(F.col(key).cast("long"), F.lit("co-training")), F.lit(1 << 20))
-    ks, us = min(1.0, labelled / max(1, n_known)), min(1.0, pool / max(1, n_all))
-    rows = docs.where(draw < max(ks, us) * (1 << 20)).select(F.col(key).cast("long").alias("c0"), F.col("source").cast("string").alias("c1"), F.col("lang").cast("string").alias("c2"), F.col("n_chars").cast("long").alias("c3"), draw.alias("c4"), F.col(text).alias("text"))
-    schema = "c0 long, c1 string, c2 string, c3 long, c4 long, x binary"
-    featured = _text_rows(rows, lambda x: pa.array([r.tobytes() for r in x], pa.binary()), schema, [])
-    # only now the narrow joins: the texts stay where they are
-    joined = featured.join(known, F.col("c0") == F.col("label_key"), "left").join(urls, F.col("c0") == F.col("page_key"), "left")
-    drawn = joined.where(F.when(F.col("label").isNotNull(), F.col("c4") < ks * (1 << 20)).otherwise(F.col("c4") < us * (1 << 20)))
-    got = drawn.select("c0", "c1", "c2", "c3", "url", "label", "x").collect()  # bounded by labelled + pool
-    got.sort(key=lambda r: (zlib.crc32(str(r["c0"]).encode()), r["c1"] or "", r["x"]))
-    width = text_features(np.zeros(0, np.uint8), np.zeros(1, np.int64)).shape[1]
-    text_x = np.frombuffer(b"".join(r["x"] for r in got), np.float32).reshape(-1, width)
-    meta_x = np.array([meta_features(r["c1"], r["c2"], r["c3"], r["url"]) for r in got], np.float32).reshape(-1, _META + 3)
-    return text_x, meta_x, np.array([-1 if r["label"] is None else r["label"] for r in got], np.int64)
-
-
-def train(docs: DataFrame, labels: DataFrame, pages: DataFrame, text: str = "text", key: str = "doc_id", target: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> tuple[CoTrained, DataFrame]:
+
+def unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The two views of the columns x and m."""
+    x, m = (np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(-1, width).astype(np.float64) for c, kind, width in (("x", "<f2", _TEXT), ("m", "<f4", _META + 3)))
+    return [x, m]
+
+
+def features(docs: DataFrame, labels: DataFrame, pages: DataFrame, text: str = "text", key: str = "doc_id", target: str = "quality") -> DataFrame:
+    """doc_id, label (null: none) and both views of every document, written once and read by every later pass."""
     bound_batches(docs.sparkSession)
     urls = materialise(page_urls(pages), "page-urls")
-    return CoTrained(*sample(docs, labels, urls, text, key, target, labelled, pool)), urls
+    known = materialise(labels.where(F.col(target).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("label_key")).agg(F.min(F.col(target).cast("int")).alias("label")), "labels")
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"), F.col(text).alias("text"))
+
+    def seen(batches):
+        for batch in batches:
+            data, offsets = utf8_buffers(batch.column(4))
+            for i, j in pieces(offsets):
+                x = text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).astype("<f2")
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in batch.columns[:4]], pa.array([r.tobytes() for r in x], pa.binary())], ["k", "source", "lang", "n_chars", "x"])
+
+    def met(batches):
+        for batch in batches:
+            m = [meta_features(*r).astype("<f4").tobytes() for r in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars", "url")))]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("label"), batch.column("x"), pa.array(m, pa.binary())], ["doc_id", "label", "x", "m"])
 
+    narrow = rows.mapInArrow(lean(seen), "k long, source string, lang string, n_chars long, x binary")
+    # no page or label has a negative key, so rows without a key spread over many that match nothing
+    spread = narrow.withColumn("at", F.coalesce(F.col("k"), -1 - F.pmod(F.xxhash64("x"), F.lit(1 << 20))))
+    joined = spread.join(sized(urls, 4 * urls.count()), (F.col("at") == F.col("page_key")) & F.col("k").isNotNull(), "left")
+    joined = joined.join(sized(known, known.count()), (F.col("at") == F.col("label_key")) & F.col("k").isNotNull(), "left")
+    return materialise(joined.select("k", "source", "lang", "n_chars", "url", "label", "x").mapInArrow(lean(met), "doc_id long, label int, x binary, m binary"), "views")
 
-def score(docs: DataFrame, model: CoTrained, urls: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5) -> DataFrame:
+
+def _total(seen: DataFrame, model: CoTrained, teachers: list[Logistic]) -> np.ndarray:
+    """The sums of all unlabelled documents: one array a task, those added in a few tasks, then on the driver."""
+
+    def add(batches):
+        total = 0.0
+        for batch in batches:
+            if batch.num_rows:
+                total = total + model.sums(teachers, unpacked(batch))
+        if isinstance(total, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def merge(batches):
+        total = 0.0
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                total = total + np.frombuffer(one)
+        if isinstance(total, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    each = seen.where("label IS NULL").select("x", "m").mapInArrow(lean(add), "sums binary")
+    few = each.repartition(8).mapInArrow(merge, "sums binary").collect()  # at most eight arrays
+    return np.sum([np.frombuffer(r["sums"]) for r in few], axis=0)
+
+
+def train(seen: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, steps: int = STEPS) -> CoTrained:
+    """Fits on ``features``."""
+    known = seen.where("label IS NOT NULL")
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("co-training")), F.lit(1 << 20))
+    share = min(1.0, labelled / max(1, known.count()))
+    rows = known.where(draw < share * (1 << 20)).select("doc_id", "label", "x", "m").toArrow()  # bounded by ``labelled``
+    order = sorted(range(rows.num_rows), key=lambda i: (zlib.crc32(str(rows["doc_id"][i].as_py()).encode()), rows["x"][i].as_py(), rows["m"][i].as_py()))
+    rows = rows.take(order).combine_chunks()
+    views = unpacked(rows) if rows.num_rows else [np.zeros((0, 1))] * 2
+    model = CoTrained(views, np.array(rows["label"].to_pylist(), np.int64))
+    if model.ready:
+        for _ in range(rounds):
+            teachers = [copy(m) for m in model.models]
+            for _ in range(steps):
+                total = _total(seen, model, teachers)
+                if total.ndim == 0:  # no unlabelled document
+                    break
+                model.step(total)
+        model.finish()
+    return model
+
+
+def score(seen: DataFrame, model: CoTrained, threshold: float = 0.5) -> DataFrame:
     """doc_id, both views' calibrated probabilities, the combined score and whether the document is kept."""
-    rows = docs.select(F.col(key).cast("long").alias("c0"), F.col("source").cast("string").alias("c1"), F.col("lang").cast("string").alias("c2"), F.col("n_chars").cast("long").alias("c3"), F.col(text).alias("text"))
-    seen = _text_rows(rows, lambda x: pa.array(model.text_odds(x), pa.float64()), "c0 long, c1 string, c2 string, c3 long, odds double", [])
-    joined = seen.join(urls, F.col("c0") == F.col("page_key"), "left").select("c0", "c1", "c2", "c3", "url", "odds")
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                c = [x.to_pylist() for x in batch.columns]
-                meta = model.meta_odds(np.array([meta_features(*r) for r in zip(*c[1:5])], np.float32))
-                odds = np.array(c[5], np.float64)
-                both = model.score(odds, meta)
-                sure = lambda x: pa.array(1 / (1 + np.exp(-x)), pa.float64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), sure(odds), sure(meta), pa.array(both, pa.float64()), pa.array(both >= threshold, pa.bool_())], ["doc_id", "p_text", "p_meta", "score", "kept"])
-
-    return joined.mapInArrow(run, "doc_id long, p_text double, p_meta double, score double, kept boolean")
+                text, meta, both = model.score(unpacked(batch))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text), pa.array(meta), pa.array(both), pa.array(both >= threshold, pa.bool_())], ["doc_id", "p_text", "p_meta", "score", "kept"])
+
+    return seen.select("doc_id", "x", "m").mapInArrow(lean(run), "doc_id long, p_text double, p_meta double, score double, kept boolean")
+
+
+def classify(docs: DataFrame, labels: DataFrame, pages: DataFrame, text: str = "text", key: str = "doc_id", target: str = "quality") -> DataFrame:
+    """``score`` of every document by a model trained on them."""
+    seen = features(docs, labels, pages, text, key, target)
+    return score(seen, train(seen))

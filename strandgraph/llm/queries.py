@@ -52,9 +52,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model, urls = cotrain.train(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "pages"))
-    return cotrain.score(docs, model, urls)
+    return cotrain.classify(*(table(spark, sf_dir, name) for name in ("documents", "labels", "pages")))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
