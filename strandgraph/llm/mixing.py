@@ -11,8 +11,8 @@ each block.  When a source runs out, the others share its weight from then on: n
 repeated.  There are at most as many such phases as sources.
 
 Edge cases: a null source is a source of its own; rows that repeat a key are ordered by their content; a
-source without a target weight gets the mean weight; sources of weight 0 follow when the others have run out; an empty table gives an empty result; other columns are
-ignored, whatever their names.
+source without a target weight gets the mean weight; sources of weight 0 follow when the others have run out; an
+empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from fractions import Fraction
 from itertools import count, islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -36,17 +36,6 @@ BLOCK = 16
 SLOT_ROWS = 8192
 
 
-def shares(weights: Mapping, period: int) -> dict:
-    """Whole shares, at least 1 each, that sum to ``period``: largest remainders, ties by name.  The mix itself rounds nothing."""
-    names = sorted(weights, key=lambda n: (n is not None, str(n)))
-    total = sum(weights[n] for n in names)
-    exact = {n: 1 + (period - len(names)) * weights[n] / total for n in names}
-    out = {n: math.floor(exact[n]) for n in names}
-    for n in sorted(names, key=lambda n: out[n] - exact[n])[: period - sum(out.values())]:
-        out[n] += 1
-    return out
-
-
 def dealt(parts: Mapping) -> Iterator[tuple]:
     """Slot by slot without end, for whole weights: the source with the earliest deadline among released blocks, and
     its block's number, release and deadline.
@@ -74,8 +63,10 @@ def schedule(parts: Mapping, slots: int) -> list:
     return [n for n, *_ in islice(dealt(parts), slots)]
 
 
-def plan(blocks: Mapping, weights: Mapping) -> Iterator[tuple]:
-    """Source, block, slot, release and deadline of every block, slot by slot."""
+def plan(blocks: Mapping, weights: Mapping, lacks: Mapping | None = None, block: int = 1) -> Iterator[tuple]:
+    """Source, block, slot, release, deadline and documents before it of every block, slot by slot; ``lacks`` says
+    by how many documents a source's last block is short."""
+    lacks, before = lacks or {}, 0
     left = {n: b for n, b in blocks.items() if b > 0}
     exact = {n: Fraction(str(weights[n])) for n in left}
     if any(w < 0 for w in exact.values()):
@@ -85,28 +76,29 @@ def plan(blocks: Mapping, weights: Mapping) -> Iterator[tuple]:
         some = {n: exact[n] for n in left if exact[n]} or dict.fromkeys(left, Fraction(1))
         unit = math.lcm(*(w.denominator for w in some.values()))
         for slot, (n, _, release, deadline) in enumerate(dealt({n: int(w * unit) for n, w in some.items()}), base):
-            yield n, done[n], slot, base + release, base + deadline
+            yield n, done[n], slot, base + release, base + deadline, before
             done[n] += 1
             left[n] -= 1
+            before += block - (0 if left[n] else lacks.get(n, 0))
             if not left[n]:  # a phase ends with the slot in which some source gives its last block
                 del left[n]
                 break
         base = slot + 1
 
 
-def slots(spark: SparkSession, blocks: Mapping, weights: Mapping) -> DataFrame:
-    """The plan as rows (s, b, slot, release, deadline), made by one task."""
+def slots(spark: SparkSession, blocks: Mapping, weights: Mapping, lacks: Mapping, block: int) -> DataFrame:
+    """The plan as rows (s, b, slot, release, deadline, before), made by one task."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = plan(blocks, weights)
+            rows = plan(blocks, weights, lacks, block)
             while some := list(islice(rows, SLOT_ROWS)):
                 s, *numbers = zip(*some)
-                yield pa.RecordBatch.from_arrays([pa.array([None if n is None else str(n) for n in s], pa.string()), *[pa.array(x, pa.int64()) for x in numbers]], ["s", "b", "slot", "release", "deadline"])
+                yield pa.RecordBatch.from_arrays([pa.array([None if n is None else str(n) for n in s], pa.string()), *[pa.array(x, pa.int64()) for x in numbers]], ["s", "b", "slot", "release", "deadline", "before"])
 
-    return materialise(spark.range(0, 1, 1, 1).mapInArrow(run, "s string, b long, slot long, release long, deadline long"), "mix-slots")
+    return materialise(spark.range(0, 1, 1, 1).mapInArrow(run, "s string, b long, slot long, release long, deadline long, before long"), "mix-slots")
 
 
 def ranked(docs: DataFrame, source: str, key: str, seed: int, carry: bool) -> DataFrame:
@@ -137,19 +129,7 @@ def mix(docs: DataFrame, weights: Mapping | None = None, source: str = "source",
     mean = sum(given.values()) / len(given) if given else 1.0
     target = {n: given.get(n, mean) for n in counts}
     blocks = {n: -(-c // block) for n, c in counts.items()}
-    table = slots(spark, blocks, target)
-    # documents before a slot: a source's last block may be short
-    last = table.groupBy("s").agg(F.max("slot").alias("slot")).toLocalIterator()  # a row for each source
-    lacks = {None if n is None else str(n): blocks[n] * block - c for n, c in counts.items()}
-    short = sorted((r["slot"], lacks[r["s"]]) for r in last)
+    table = slots(spark, blocks, target, {n: blocks[n] * block - c for n, c in counts.items()}, block)
     rows = ranked(docs, source, key, seed, carry).withColumn("block", F.floor(F.col("number") / block).cast("long"))
     out = rows.join(sized(table, sum(blocks.values())), F.col("source").cast("string").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    return out.withColumn("mix_position", F.col("slot") * block + F.col("number") % block - missing(F.col("slot"), short)).select("doc_id", "source", "number", "block", "slot", "release", "deadline", "mix_position", *(["row"] if carry else []))
-
-
-def missing(slot: Column, short: list[tuple[int, int]]) -> Column:
-    """Documents that short blocks in earlier slots lack; one entry for each source."""
-    lacks = [F.struct(F.lit(s).cast("long").alias("slot"), F.lit(n).cast("long").alias("n")) for s, n in short if n]
-    if not lacks:
-        return F.lit(0).cast("long")
-    return F.aggregate(F.array(*lacks), F.lit(0).cast("long"), lambda a, x: a + F.when(x["slot"] < slot, x["n"]).otherwise(0))
+    return out.withColumn("mix_position", F.col("before") + F.col("number") % block).select("doc_id", "source", "number", "block", "slot", "release", "deadline", "mix_position", *(["row"] if carry else []))

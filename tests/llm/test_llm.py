@@ -150,13 +150,28 @@ def test_language_id(spark, docs):
 
 
 def test_cotraining(spark, docs):
+    """Accuracy on labels that training never saw, and edge cases."""
     tables = [spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels", "pages")]
-    model, urls = cotrain.train(*tables)
-    scored = cotrain.score(tables[0], model, urls).join(tables[1], "doc_id")
-    assert scored.select(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0] > 0.96 and model.exchanged > 0
-    nothing = tables[1].limit(0)
-    model, urls = cotrain.train(docs, nothing, tables[2].limit(0))
-    assert cotrain.score(docs, model, urls).where("kept AND score = 0.5").count() == docs.count()
+    hidden = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 1
+    seen = cotrain.features(tables[0], tables[1].where(~hidden), tables[2])
+    model = cotrain.train(seen)
+    held = cotrain.score(seen, model).join(tables[1].where(hidden), "doc_id")
+    assert held.count() > 60 and held.select(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("int"))).first()[0] > 0.95
+    assert model.exchanged > 600  # all that either view is sure of
+    assert cotrain.classify(docs, tables[1].limit(0), tables[2].limit(0)).where("kept AND score = 0.5").count() == docs.count()
+    assert cotrain.classify(docs.limit(0), tables[1], tables[2]).count() == 0
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    got = cotrain.classify(docs, marks.unionByName(marks), tables[2])
+    assert got.count() == docs.count() and got.where("score IS NULL OR score < 0 OR score > 1").count() == 0
+
+
+def test_cotraining_sums_equal_one_pass(spark, docs):
+    """The sums over all tasks are those of one array of all unlabelled rows."""
+    rng = np.random.default_rng(2)
+    seen = cotrain.features(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"), spark.createDataFrame([], "url string"))
+    model = cotrain.CoTrained([rng.normal(size=(80, 139)), rng.normal(size=(80, 99))], rng.integers(0, 2, 80))
+    whole = cotrain.unpacked(seen.where("label IS NULL").select("x", "m").toArrow().combine_chunks())
+    assert np.allclose(cotrain._total(seen.repartition(5), model, model.models), model.sums(model.models, whole))
 
 
 def test_decontamination(spark, docs):
@@ -275,7 +290,7 @@ def test_components(spark, monkeypatch, most):
 
 
 def test_pfair(spark, docs):
-    parts = mixing.shares({"a": 5, "b": 3, "c": 1, None: 0.01}, 97)
+    parts = {"a": 48, "b": 30, "c": 13, None: 6}
     order = mixing.schedule(parts, 97)
     given = Counter()
     for t, n in enumerate(order, 1):
@@ -284,10 +299,29 @@ def test_pfair(spark, docs):
     many = docs.crossJoin(spark.range(9).withColumnRenamed("id", "copy"))
     got = mixing.mix(many, {"a": 3, "b": 1}, block=4).collect()
     assert sorted(r.mix_position for r in got) == list(range(many.count()))
+    assert [r.slot for r in sorted(got, key=lambda r: r.mix_position)] == sorted(r.slot for r in got)
     assert all(r.release <= r.slot < r.deadline for r in got)
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def by_hand(weights, slots):
+    """Every slot by its definition: of the released blocks, the one with the earliest deadline (then the heavier source)."""
+    total, given, out = sum(weights.values()), Counter(), []
+    names = list(weights)
+    for t in range(slots):
+        free = [(-(-(given[n] + 1) * total // weights[n]), -weights[n], names.index(n), n) for n in names if given[n] * total // weights[n] <= t]
+        out.append(min(free)[3])
+        given[out[-1]] += 1
+        assert all(abs(total * given[n] - (t + 1) * weights[n]) < total for n in names)
+    return out
+
+
+@pytest.mark.parametrize("weights", [{"a": 5, "b": 3, "c": 1}, {"a": 90, **{f"s{i}": 1 for i in range(10)}}, {"a": 1000, "b": 1}])
+def test_pfair_equals_the_definition(weights):
+    """10,000 slots of the given weights, each prefix within one block of them."""
+    assert mixing.schedule(weights, 10_000) == by_hand(weights, 10_000)
+
+
 def test_pfair_keeps_to_the_given_weights(spark):
     """Over many slots every source stays less than one block from its exact weight, and in its exact window."""
     weights = {"a": 0.97, "b": 0.01, "c": 0.01, "d": 0.01}
@@ -305,10 +339,12 @@ def test_pfair_keeps_to_the_given_weights(spark):
 def test_plan_gives_every_block_once():
     """Odd weights, a weight of 0 and sources that run out."""
     blocks = {"a": 70, "b": 400, None: 9, "z": 5}
-    rows = list(mixing.plan(blocks, {"a": 3**0.5, "b": 17**0.5, None: 1, "z": 0}))
+    rows = list(mixing.plan(blocks, {"a": 3**0.5, "b": 17**0.5, None: 1, "z": 0}, {"a": 3, "z": 1}, 4))
     assert [r[2] for r in rows] == list(range(484)) and {r[0] for r in rows[-5:]} == {"z"}
     assert {r[:2] for r in rows} == {(n, i) for n, b in blocks.items() for i in range(b)}
-    assert all(release <= slot < deadline for _, _, slot, release, deadline in rows)
+    assert all(release <= slot < deadline for _, _, slot, release, deadline, _ in rows)
+    size = [1 if r[:2] == ("a", 69) else 3 if r[:2] == ("z", 4) else 4 for r in rows]
+    assert [r[5] for r in rows] == [sum(size[:i]) for i in range(484)]
 
 
 def test_pipeline(spark, docs, tmp_path):
