@@ -24,17 +24,19 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SharedWriter, bound_batches, file_system, materialise, shared_folder
+from .common import SharedWriter, bound_batches, file_system, lean, materialise, shared_folder
 
 #: Fixed values of the seekable format: skippable frame of the table, its footer's number, the check sum flag.
 _SEEK_FRAME, _SEEK_MAGIC, _WITH_SUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: The skippable frame of the document index.
 _INDEX_FRAME = 0x184D2A50
-#: Bytes of ids to a frame and of a file; words that an encoder remembers.
-FRAME, ROLL, REMEMBERED = 256 << 10, 256 << 20, 1_000_000
+#: Bytes of ids to a frame and of a file.
+FRAME, ROLL = 256 << 10, 256 << 20
+#: Bytes of words and ids that an encoder remembers, what one entry costs beside them, and its longest word.
+REMEMBERED, ENTRY, LONGEST = 24 << 20, 250, 64
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -61,6 +63,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.held = 0
         self.plain = Tokenizer.from_file(path)
         self.model = self.plain.model
         self.marked = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;=?@\\[\\]^_`{|}~-]+)")
@@ -73,8 +76,6 @@ class Encoder(dict):
         return np.asarray(self.plain.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         if self.letters.fullmatch(piece):  # one pre-token, already in its normal form
             word = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.byte_letters)
             value = np.asarray([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
@@ -84,7 +85,12 @@ class Encoder(dict):
             value = self[low]
         else:
             value = self._ids(piece)
-        self[piece] = value
+        if len(piece) <= LONGEST:
+            self.held += ENTRY + 4 * len(piece) + len(value)
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
+            self[piece] = value
         return value
 
     def encode(self, text: str) -> bytes:
@@ -188,42 +194,65 @@ class StoreReader:
         return self._frame(k)[at : at + 4 * int(self.count[row])]
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, order: list, text: str = "text", key: str = "doc_id", frame: int = FRAME, roll: int = ROLL) -> DataFrame:
-    """Sorts by ``order`` over range partitions and writes their ids; returns the list of committed files with
-    their place in the order (partition, number in it), their ids and the ids of the files before them."""
-    spark = docs.sparkSession
-    bound_batches(spark)
+_FILES = "file string, part string, first long, ids long"
+
+
+def _encoding(folder: str, tokenizer: str, end_id: int, frame: int, roll: int):
+    """Writes runs of rows (doc_id, text, part, row): a new file begins with each part, after a gap in the rows, or
+    when a file is large enough.  Yields a row for each committed file, with the part and row that it begins at."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
-        from pyspark import TaskContext
+        rows, out, encode, after = [], None, encoder(tokenizer).encode, None
+
+        def close():
+            out.close()
+            rows.append((out.path, *began, out.ids))
 
-        part, rows, out, encode = TaskContext.get().partitionId(), [], None, encoder(tokenizer).encode
         for batch in batches:
-            for doc_id, whole in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, whole, part, row in zip(*(c.to_pylist() for c in batch.columns)):
+                if out is not None and ((part, row) != after or out.out.size >= roll):
+                    close()
+                    out = None
                 if out is None:
-                    out = StoreWriter(folder, f"ids-{part:06d}-{len(rows):06d}-{uuid.uuid4().hex}.zst", frame)
+                    out, began = StoreWriter(folder, f"ids-{uuid.uuid4().hex}.zst", frame), (part, row)
                 out.add(doc_id, (encode(whole) if whole else b"") + end)
-                if out.out.size >= roll:
-                    out.close()
-                    rows.append((out.path, part, len(rows), out.ids))
-                    out = None
+                after = part, row + 1
         if out is not None:
-            out.close()
-            rows.append((out.path, part, len(rows), out.ids))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["file", "part", "number", "ids"])
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], ["file", "part", "first", "ids"])
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *[c.alias(f"order_{i}") for i, c in enumerate(order)])
-    keys = [F.col(f"order_{i}").asc_nulls_first() for i in range(len(order))]
-    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, F.xxhash64("text")).select("doc_id", "text")  # the hash only settles ties
-    listed = materialise(ranged.mapInArrow(run, "file string, part long, number long, ids long"), "token-files")
+    return lean(run)
+
+
+def _listed(spark, written: DataFrame) -> DataFrame:
+    """file, before: the committed files in order, with the ids of the files before each; a small row for each file."""
     files, before = [], 0
-    for r in listed.orderBy("part", "number").toLocalIterator():  # one small row for each file
+    for r in materialise(written, "token-files").orderBy(F.length("part"), "part", "first").toLocalIterator():
         files.append((r["file"], before))
         before += r["ids"]
     return spark.createDataFrame(files, "file string, before long")
 
 
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str = "text", key: str = "doc_id", frame: int = FRAME, roll: int = ROLL) -> DataFrame:
+    """Sorts by the key over range partitions and writes their ids; returns the list of committed files in order,
+    each with the ids of the files before it."""
+    bound_batches(docs.sparkSession)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    order = F.col("doc_id").asc_nulls_first()
+    ranged = rows.repartitionByRange(order).sortWithinPartitions(order, F.xxhash64("text"))  # the hash only settles ties
+    placed = ranged.select("doc_id", "text", F.spark_partition_id().cast("string").alias("part"), (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("row"))
+    return _listed(docs.sparkSession, placed.mapInArrow(_encoding(folder, tokenizer, end_id, frame, roll), _FILES))
+
+
+def write_placed(docs: DataFrame, folder: str, tokenizer: str, end_id: int, part: Column, row: Column, text: str = "text", key: str = "doc_id", frame: int = FRAME, roll: int = ROLL) -> DataFrame:
+    """As ``write``, for rows that lie in order already, as those of files read from disk: ``part`` names the file
+    (shorter names first) and ``row`` is the row's number in it.  Nothing is shuffled."""
+    bound_batches(docs.sparkSession)
+    placed = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), part.cast("string").alias("part"), row.cast("long").alias("row"))
+    return _listed(docs.sparkSession, placed.mapInArrow(_encoding(folder, tokenizer, end_id, frame, roll), _FILES))
+
+
 def read(files: DataFrame) -> DataFrame:
     """Each document's doc_id, start (ids before it), n_tokens and the crc32 of its ids, from the files."""
     types, names = (pa.int64(),) * 4, ["doc_id", "start", "n_tokens", "ids_crc32"]
@@ -242,7 +271,7 @@ def read(files: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names)
 
     spread = files.repartition(max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def fetch(files: DataFrame, wanted: list[int]) -> dict[int, list[int]]:
@@ -257,7 +286,9 @@ def fetch(files: DataFrame, wanted: list[int]) -> dict[int, list[int]]:
     return found
 
 
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int, order: list | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Write to the shared folder in the given order (ascending key by default) and read back."""
+def round_trip(docs: DataFrame, tokenizer: str, end_id: int, place: tuple[Column, Column] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Write to the shared folder, in ascending order of the key or at the rows' places (part, row), and read back."""
     folder = posixpath.join(shared_folder(docs.sparkSession, "tokens"))
-    return read(write(docs, folder, tokenizer, end_id, order or [F.col(key)], text, key))
+    if place is None:
+        return read(write(docs, folder, tokenizer, end_id, text, key))
+    return read(write_placed(docs, folder, tokenizer, end_id, *place, text, key))
