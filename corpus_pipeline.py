@@ -16,52 +16,79 @@ from strandgraph.llm.common import materialise, table
 from strandgraph.llm.queries import END_ID, tokenizer_path
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose doc_id isn't in ``dropped``; rows with a null doc_id stay."""
-    out = dropped.select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(out, docs["doc_id"] == out["__dropped"], "left_anti")
+def _without(docs: DataFrame, judge, verdict: str) -> DataFrame:
+    """The documents of which ``judge`` gives no row (doc_id, ...) that ``verdict`` holds for.
+
+    Rows that repeat an id are one document: it goes if one of its rows does.  Rows with a null id are judged and
+    go under a hash of their columns, so equal rows go together."""
+    content = [f.name for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    named = docs.withColumn("__bare", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(*content)))
+    out = judge(named).where(verdict).select(F.col("doc_id").alias("__dropped")).distinct()
+    left = named.join(out, named["doc_id"] == out["__dropped"], "left_anti")
+    return left.withColumn("doc_id", F.when(~F.col("__bare"), F.col("doc_id")).cast(docs.schema["doc_id"].dataType)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the co-trained classifier rejects."""
-    model, urls = cotrain.train(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "pages"))
-    return _without(docs, cotrain.score(docs, model, urls).where("NOT kept"))
+    """Drops the documents that the co-trained classifier rejects.
+
+    Rows that repeat an id are one document: it goes if one of its rows is rejected.  Without labels of both kinds
+    nothing is rejected; an empty table stays empty; other columns pass through."""
+    labels, pages = table(spark, sf_dir, "labels"), table(spark, sf_dir, "pages")
+    return _without(docs, lambda rows: cotrain.classify(rows, labels, pages), "NOT kept")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates, and one row of it."""
-    left = _without(docs, minhash.near_duplicates(docs).where("NOT kept"))
-    again = materialise(docs.groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("__n")).where("__n > 1 AND __again IS NOT NULL").select("__again"), "repeated-keys")
+    """Keeps the smallest doc_id of each group of near duplicates, and one row of it.
+
+    Of rows that repeat an id the one with the smallest text (then source, lang, n_chars; nulls first) stays.  Rows
+    with a null id are linked with nothing and stay; an empty table stays empty; other columns pass through."""
+    out = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    left = docs.join(out, docs["doc_id"] == out["__dropped"], "left_anti")
+    again = materialise(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("__n")).where("__n > 1").select("__again"), "repeated-keys")
     if not again.take(1):
         return left
     once = left.join(again, left["doc_id"] == again["__again"], "left_anti")
-    return once.unionByName(left.join(again, left["doc_id"] == again["__again"], "left_semi").dropDuplicates(["doc_id"]))
+    rows = left.join(again, left["doc_id"] == again["__again"], "left_semi")
+    order = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
+    order += [f.name for f in docs.schema if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
+    least = rows.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), *order)).alias("__row"))
+    return once.unionByName(least.select("__row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a window of a benchmark item."""
-    found = decontam.report(decontam.matches(docs, table(spark, sf_dir, "benchmark")))
-    return _without(docs, found.where("contaminated"))
+    """Drops the documents that hold a window of a benchmark item.
+
+    Rows that repeat an id are one document: it goes if one of its rows holds a window.  A null text holds none; an
+    empty benchmark drops nothing; other columns pass through."""
+    items = table(spark, sf_dir, "benchmark")
+    return _without(docs, lambda rows: decontam.report(decontam.matches(rows, items)), "contaminated")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the documents into the order of the Pfair schedule."""
+    """Puts the documents into the order of the Pfair schedule; drops none.
+
+    A null source is a source of its own; rows that repeat an id or a whole row each have a place; an empty table
+    stays empty; other columns pass through."""
     return mixing.mix(docs, carry=True).orderBy("mix_position").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token ids in the order of the rows and returns what the files say of each document."""
+    """Writes the token ids in the order of the rows and returns what the files say of each document.
+
+    Null and empty texts have only the end id; rows that repeat an id, also the null id, each have a row; an empty
+    table gives an empty result; other columns are ignored.  Rows that come from no file are put in the order of
+    doc_id."""
     try:
-        placed = docs.select("*", F.regexp_extract(F.col("_metadata.file_name"), "part-(\\d+)", 1).alias("__part"), F.col("_metadata.row_index").alias("__row"))
-        order = [F.length("__part"), F.col("__part"), F.col("__row")]
-    except AnalysisException:  # rows that come from no file have no place: ascending doc_id
-        placed, order = docs, None
-    return token_store.round_trip(placed, tokenizer_path(), END_ID, order)
+        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        placed = docs.select("doc_id", "text", F.regexp_extract(name, "part-(\\d+)", 1).alias("__part"), row.alias("__row"))
+    except AnalysisException:  # no file, no place
+        return token_store.round_trip(docs, tokenizer_path(), END_ID)
+    return token_store.round_trip(placed, tokenizer_path(), END_ID, (F.col("__part"), F.col("__row")))
 
 
 STAGES = [("quality classifier", quality), ("minhash near-dedup", near_duplicates), ("benchmark decontamination", decontaminate), ("mixing", mix), ("token ids", tokens)]
 
-#: The classifier and the tokenizer have no SQL; the tests hold the pipeline against plain Python.
+#: The classifier and the tokenizer have no SQL; the tests hold each stage against plain Python.
 ORACLE_SQL = None
 
 
