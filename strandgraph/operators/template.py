@@ -88,3 +88,45 @@ def search(template: str, types: Mapping[str, DataFrame], keys: Mapping[str, str
 def condense(matches: DataFrame, container: str, position: int, batch: int) -> DataFrame:
     """Matches per container, one page of them in key order."""
     return matches.groupBy(container).agg(F.count("*").alias("hits")).orderBy(container).offset(position).limit(batch)
+
+
+def _value(word: str) -> str:
+    return word[1:-1] if len(word) > 1 and word[0] == word[-1] and word[0] in "\"'" else word
+
+
+def search_slots(template: str, types: Mapping[str, DataFrame], within: str = "doc", mode: str = "contains") -> DataFrame:
+    """Matches of a template over slots: one column of node ids an atom, named by its place (n0, n1, ...).
+
+    Each type has node, ``within`` (what no node crosses), lo and hi, and its features; rows whose ``extent`` is false are
+    anchors and contain nothing.  Indentation means that the inner slots lie inside the outer ones.  A negated atom
+    rules a container out by ``mode``: contains (it holds such a node whole), overlaps (they share a slot) or flagged
+    (it has a slot inside such a node of positive width)."""
+    roots = parse(template)
+    names: list[str] = []
+
+    def rows(atom: Atom) -> DataFrame:
+        at = len(names)
+        names.append(f"n{at}")
+        df = _filter(types[atom.otype], [(n, o, _value(v)) for n, o, v in atom.predicates])
+        solid = df.where("extent") if "extent" in df.columns else df
+        out = (solid if atom.children or atom.without else df).select(F.col("node").alias(f"n{at}"), F.col(within).alias(f"w{at}"), F.col("lo").alias(f"lo{at}"), F.col("hi").alias(f"hi{at}"))
+        for child in atom.children:
+            k = len(names)
+            inner = rows(child)
+            out = out.join(inner, (F.col(f"w{at}") == F.col(f"w{k}")) & (F.col(f"lo{k}") >= F.col(f"lo{at}")) & (F.col(f"hi{k}") <= F.col(f"hi{at}")))
+        for child in atom.without:
+            held = _filter(types[child.otype], [(n, o, _value(v)) for n, o, v in child.predicates])
+            held = held.select(F.col(within).alias("_w"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+            inside = (F.col("_lo") >= F.col(f"lo{at}")) & (F.col("_hi") <= F.col(f"hi{at}"))
+            if mode != "contains":
+                inside = (F.col("_lo") <= F.col(f"hi{at}")) & (F.col("_hi") >= F.col(f"lo{at}"))
+            if mode == "flagged":
+                held = held.where("_hi > _lo")
+            out = out.join(held, (F.col(f"w{at}") == F.col("_w")) & inside, "left_anti")
+        return out
+
+    found = rows(roots[0])
+    for root in roots[1:]:  # atoms side by side share what no node crosses
+        k = len(names)
+        found = found.join(rows(root), F.col("w0") == F.col(f"w{k}"))
+    return found.select(*names)

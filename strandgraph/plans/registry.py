@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import audits, graphs, intervals, records, texts  # noqa: E402,F401  each registers its queries
+from . import audits, derive, grammars, graphs, intervals, records, texts  # noqa: E402,F401  each registers its queries

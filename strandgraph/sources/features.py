@@ -56,7 +56,7 @@ def _body(contents: DataFrame, by: str) -> DataFrame:
 
 def _extents(spec: Column) -> Column:
     ends = lambda x: F.transform(F.split(F.trim(x), "-"), lambda e: e.cast("long"))
-    pair = lambda x: F.struct(F.array_min(ends(x)).alias("lo"), F.array_max(ends(x)).alias("hi"))
+    pair = lambda x: F.named_struct(F.lit("lo"), F.array_min(ends(x)), F.lit("hi"), F.array_max(ends(x)))
     return F.transform(F.split(spec, ","), pair)
 
 
@@ -72,3 +72,33 @@ def read_nodes(contents: DataFrame, by: str = "part") -> DataFrame:
     extents = F.coalesce("named", F.array(F.struct(implied.alias("lo"), implied.alias("hi"))))
     spread = rows.select(by, F.explode(extents).alias("e"), unescaped(F.col("value")).alias("value"))
     return spread.select(by, F.explode(F.sequence(F.col("e.lo"), F.col("e.hi"))).alias("node"), "value")
+
+
+def read_edges(contents: DataFrame, by: str = "part", valued: bool = False) -> DataFrame:
+    """by, src, dst, value of edge features.  A line is ``[sources TAB] targets [TAB value]``; without sources it
+    belongs to the node after the last one; of a pair given twice the last line counts."""
+    fields = F.split("line", "\t")
+    n = F.size(fields)
+    source = F.when(n == (3 if valued else 2), fields[0])
+    target = F.when(n == 3, F.get(fields, F.lit(1))).otherwise(fields[0]) if valued else F.element_at(fields, -1)
+    value = F.when(n > 1, unescaped(F.element_at(fields, -1))) if valued else F.lit(None).cast("string")
+    rows = _body(contents, by).where("line <> ''").select(by, "at", source.alias("spec"), target.alias("to"), value.alias("value"))
+    order = Window.partitionBy(by).orderBy("at")
+    rows = rows.withColumn("_n", F.row_number().over(order).cast("long")).withColumn("named", F.when(F.col("spec").isNotNull(), _extents(F.col("spec"))))
+    known = F.when(F.col("named").isNotNull(), F.struct(F.array_max(F.col("named.hi")).alias("node"), F.col("_n").alias("n")))
+    rows = rows.withColumn("_k", F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    implied = F.coalesce(F.col("_k.node") + F.col("_n") - F.col("_k.n"), F.col("_n"))
+    both = rows.select(by, "at", "value", F.explode(F.coalesce("named", F.array(F.struct(implied.alias("lo"), implied.alias("hi"))))).alias("s"), _extents(F.col("to")).alias("t"))
+    pairs = both.select(by, "at", "value", F.explode(F.sequence("s.lo", "s.hi")).alias("src"), "t")
+    pairs = pairs.select(by, "at", "value", "src", F.explode("t").alias("e")).select(by, "at", "value", "src", F.explode(F.sequence("e.lo", "e.hi")).alias("dst"))
+    return pairs.groupBy(by, "src", "dst").agg(F.max_by("value", "at").alias("value"))
+
+
+def edge_lines(edges: DataFrame, valued: bool = False) -> DataFrame:
+    """first, line of an edge file's body: sources, targets as ranges and the value, a line for each source and value."""
+    keys = ["src", *(["value"] if valued else [])]
+    runs = islands(edges, keys, "dst")
+    spec = F.when(F.col("lo") == F.col("hi"), F.col("lo").cast("string")).otherwise(F.concat_ws("-", F.col("lo").cast("string"), F.col("hi").cast("string")))
+    grouped = runs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("lo", spec.alias("spec")))).alias("runs"))
+    line = F.concat_ws("\t", F.col("src").cast("string"), F.array_join(F.col("runs.spec"), ","), *([escaped(F.coalesce("value", F.lit("")))] if valued else []))
+    return grouped.select(F.col("src").alias("first"), line.alias("line"))

@@ -14,7 +14,7 @@ from strandgraph.plans import registry
 SF = "/root/testdata/sf0.001"
 
 
-def plain(v):
+def plain(v):  # numbers alike, whatever their type
     if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
         return "NULL"
     if type(v).__name__ in ("bool", "bool_"):
