@@ -42,11 +42,17 @@ def conserved(counts: dict[str, DataFrame], key: str) -> DataFrame:
     return filled.withColumn("balanced", agree)
 
 
-def fingerprint(rows: DataFrame, order: list[str], columns: list[str], by: list[str]) -> DataFrame:
-    """A digest of each group that doesn't depend on how rows are dealt out: the sorted rows' digests, digested."""
+def fingerprint(rows: DataFrame, order: str, columns: list[str], by: list[str], span: int = 4096) -> DataFrame:
+    """A digest of each group that doesn't depend on how rows are dealt out: rows' digests are digested for each range of
+    ``span`` keys, then those.  No task holds a group, only a range and a group's list of ranges."""
     row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]), 256)
-    ordered = F.array_sort(F.collect_list(F.struct(*order, row.alias("_d"))))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.transform(ordered, lambda x: x["_d"]), ""), 256).alias("digest"))
+
+    def digest(key, value):
+        return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value.alias("_d")))), lambda x: x["_d"]), ""), 256)
+
+    part = F.floor(F.col(order) / span).alias("_part")
+    ranges = rows.groupBy(*by, part).agg(F.count("*").alias("_n"), digest(order, row).alias("_r"))
+    return ranges.groupBy(*by).agg(F.sum("_n").alias("n"), digest("_part", F.col("_r")).alias("digest"))
 
 
 def vote(ballots: DataFrame, item: str, source: str, choice: str) -> DataFrame:
@@ -59,3 +65,49 @@ def vote(ballots: DataFrame, item: str, source: str, choice: str) -> DataFrame:
 def ledger(outcomes: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Outcomes that aren't converted and aren't allowed with the same reason."""
     return outcomes.where("status <> 'converted'").join(allowed.withColumnRenamed(key, "_k").withColumnRenamed("reason", "_r"), (F.col(key) == F.col("_k")) & (F.col("reason") == F.col("_r")), "left_anti")
+
+
+def agreement(ballots: DataFrame, item: str, lineage: str, choice: str) -> DataFrame:
+    """item, lineages, support, against, unknown, consensus: sources of one lineage have one voice, which counts only if
+    they agree; a null choice is unknown; the consensus is the choice of all that know one."""
+    voice = ballots.groupBy(item, lineage).agg(F.min(choice).alias("lo"), F.max(choice).alias("hi"))
+    known = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+    each = voice.select(item, known.alias("c"))
+    counts = each.where("c IS NOT NULL").groupBy(item, "c").agg(F.count("*").alias("n"))
+    best = counts.groupBy(F.col(item).alias("_i")).agg(F.min(F.struct((-F.col("n")).alias("o"), F.col("c").alias("c"))).alias("b"), F.count("*").alias("kinds"), F.sum("n").alias("told"))
+    total = each.groupBy(item).agg(F.count("*").alias("lineages"), F.count_if(F.col("c").isNull()).alias("unknown"))
+    both = total.join(best, F.col(item).eqNullSafe(F.col("_i")), "left")
+    support = F.coalesce(-F.col("b.o"), F.lit(0))
+    return both.select(item, "lineages", support.alias("support"), (F.coalesce("told", F.lit(0)) - support).alias("against"), "unknown", F.when(F.col("kinds") == 1, F.col("b.c")).alias("consensus"))
+
+
+def delta(before: DataFrame, after: DataFrame, key: str, mark: str) -> DataFrame:
+    """key, kind of each key of two tables: added, withdrawn, replaced or unchanged; a null mark is a value."""
+    a = before.select(F.col(key).alias("_a"), F.struct(F.col(mark).alias("v")).alias("_x"))
+    b = after.select(F.col(key).alias("_b"), F.struct(F.col(mark).alias("v")).alias("_y"))
+    kind = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "withdrawn").when(F.col("_x").eqNullSafe(F.col("_y")), "unchanged").otherwise("replaced")
+    return a.join(b, F.col("_a") == F.col("_b"), "full_outer").select(F.coalesce("_a", "_b").alias(key), kind.alias("kind"))
+
+
+def population(observed: DataFrame, expected: dict[str, int]) -> DataFrame:
+    """name, observed, expected, ok: fixed counts against what there is; ``observed`` has name and n."""
+    literal = F.explode(F.map_from_arrays(F.array(*map(F.lit, expected)), F.array(*[F.lit(v).cast("long") for v in expected.values()])))
+    wanted = observed.sparkSession.range(1).select(literal).select(F.col("key").alias("_k"), F.col("value").alias("expected"))
+    both = observed.join(wanted, F.col("name") == F.col("_k"), "full_outer")
+    return both.select(F.coalesce("name", "_k").alias("name"), F.coalesce("n", F.lit(0)).alias("observed"), "expected", F.col("n").eqNullSafe(F.col("expected")).alias("ok"))
+
+
+def ceilings(figures: DataFrame, most: dict[str, float]) -> DataFrame:
+    """name, value, most, ok: a gate passes where every figure is at most its ceiling; one without a ceiling fails."""
+    limit = F.coalesce(*[F.when(F.col("name") == n, F.lit(float(v))) for n, v in most.items()])
+    return figures.select("name", F.col("value").cast("double").alias("value"), limit.alias("most"), F.coalesce(F.col("value") <= limit, F.lit(False)).alias("ok"))
+
+
+def gates(results: list[tuple[str, DataFrame]], marks) -> list[tuple[str, bool, int]]:
+    """(name, passed, failing rows) of gates in order, each a table of violations; ``marks()`` names the state of the
+    inputs, and a gate after which it differs fails."""
+    out, before = [], marks()
+    for name, violations in results:
+        n = violations.count()
+        out.append((name, n == 0 and marks() == before, n))
+    return out

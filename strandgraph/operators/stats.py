@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import let
+from ..sources.shared import written
 
 
 def lexicon(tokens: DataFrame, keys: list[str], anchor: str) -> DataFrame:
@@ -34,8 +34,9 @@ def collocations(line_words: DataFrame, window: int, least: int) -> DataFrame:
     """Ordered pairs within ``window`` words of a line, counted, with pointwise mutual information.
 
     ``line_words`` has an array ``ws`` a line; pairs come from the array itself, without a self join."""
-    pair = let(F.col("ws"), lambda ws: F.flatten(F.transform(ws, lambda a, i: F.transform(F.slice(ws, i + 2, window - 1), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
-    pairs = line_words.select(F.explode(pair).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    n = F.size("ws")
+    shifted = [F.when(n > d, F.arrays_zip(F.slice("ws", F.lit(1), n - d).alias("a"), F.slice("ws", F.lit(d + 1), n - d).alias("b"))) for d in range(1, window)]
+    pairs = line_words.select(F.explode(F.flatten(F.array_compact(F.array(*shifted)))).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     freq = line_words.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
     total = freq.agg(F.sum("f").alias("total"))
     fa, fb = freq.select(F.col("w").alias("a"), F.col("f").alias("fa")), freq.select(F.col("w").alias("b"), F.col("f").alias("fb"))
@@ -55,19 +56,50 @@ def stratified(rows: DataFrame, stratum: str, key: str, k: int, seed: str) -> Da
 
 
 def min_label_components(edges: DataFrame) -> DataFrame:
-    """(id, label): the smallest id that each id reaches; stops only when no label changes, so rounds grow with the longest path.  Lineage is cut by checkpoint."""
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels = both.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id"))
+    """(id, label): the smallest id that each id of the edges (a, b) reaches.
+
+    Each round hangs every neighbour larger than an id on the smallest of its neighbours, then every id's neighbours on
+    the smallest of them, until the edges no longer change; rounds grow with the logarithm of the longest path."""
+    ids = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).where("id IS NOT NULL").distinct()
+    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    mark = None
     while True:
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy(F.col("a").alias("x")).agg(F.min("label").alias("m"))
-        new = labels.join(near, F.col("id") == F.col("x"), "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
-        new = new.checkpoint()
-        labels = new.select("id", "label")
-        if not new.where("old <> label").take(1):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select("k", F.least("k", "m").alias("m"))
+        large = both.join(least, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        root = down.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
+        small = down.join(root, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = written(small.unionByName(root.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        new = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+        if new == mark:
             break
-    return labels
+        mark = new
+    return ids.join(now, F.col("id") == F.col("u"), "left").select("id", F.coalesce("v", "id").alias("label"))
+
+
+def quantile(rows: DataFrame, by: str, value: str, q: float) -> DataFrame:
+    """by, quantile: exact, interpolated between neighbours.  Values are counted, then ranked over ranges of (by, value),
+    so no task holds a group."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("g"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    ranged = written(counts.repartitionByRange("g", "v").withColumn("p", F.spark_partition_id()), "ranks")
+    sizes = ranged.groupBy("p", "g").agg(F.sum("n").alias("m"))
+    w = Window.partitionBy("g").orderBy("p")
+    before = sizes.select(F.col("p").alias("p2"), F.col("g").alias("g2"), (F.sum("m").over(w) - F.col("m")).alias("b"), F.sum("m").over(Window.partitionBy("g")).alias("total"))
+    local = ranged.withColumn("c", F.sum("n").over(Window.partitionBy("p", "g").orderBy("v")))
+    ranked = local.join(F.broadcast(before), (F.col("p") == F.col("p2")) & F.col("g").eqNullSafe(F.col("g2")))  # a row for each partition and group
+    at = (F.col("total") - 1) * q
+    first, last = F.col("b") + F.col("c") - F.col("n"), F.col("b") + F.col("c") - 1
+    held = lambda place: F.max(F.when((first <= place) & (place <= last), F.col("v")))
+    ends = ranked.groupBy("g").agg(held(F.floor(at)).alias("lo"), held(F.ceil(at)).alias("hi"), F.max(at - F.floor(at)).alias("part"))
+    return ends.select(F.col("g").alias(by), (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("quantile"))
+
+
+def log_likelihood(n: Column, f1: Column, f2: Column, total: Column) -> Column:
+    """G squared of a pair that occurs n times, by its words' counts and the number of places."""
+
+    def part(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    cells = [(n, f1, f2), (f1 - n, f1, total - f2), (f2 - n, total - f1, f2), (total - f1 - f2 + n, total - f1, total - f2)]
+    return 2 * sum((part(s, r * c / total) for s, r, c in cells), F.lit(0.0))

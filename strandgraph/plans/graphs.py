@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import align, stats, template
+from ..sources import corpus
 from ..sources.tables import table
 from .registry import query
 
@@ -122,10 +123,11 @@ def stratified_sample(spark, sf_dir):
     return stats.stratified(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 5, "5").drop("rank")
 
 
-@query("SELECT doc_id, source FROM documents WHERE doc_id % 20 = 0")
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (ORDER BY CAST(doc_id AS VARCHAR), doc_id) AS n FROM documents) WHERE (n - 1) % 20 = 0")
 def systematic_sample(spark, sf_dir):
-    """Every 20th document: the sampling is the operator."""
-    return table(spark, sf_dir, "documents").where("doc_id % 20 = 0").select("doc_id", "source")
+    """Every 20th document in the order of its name: the sampling is the operator."""
+    named = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), "doc_id", "source")
+    return corpus.ordinals(named, "name").where("(ordinal - 1) % 20 = 0").select("doc_id", "source")
 
 
 @query("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' THEN l_quantity END DESC NULLS LAST, l_linenumber) AS place FROM lineitem")
@@ -141,4 +143,4 @@ def topk_per_group(spark, sf_dir):
 
 @query("SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 2) AS median FROM orders GROUP BY o_orderpriority")
 def percentiles(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.round(F.percentile("o_totalprice", 0.5), 2).alias("median"))
+    return stats.quantile(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice", 0.5).select("o_orderpriority", F.round("quantile", 2).alias("median"))

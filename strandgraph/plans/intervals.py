@@ -81,9 +81,14 @@ def interval_point(spark, sf_dir):
 
 @query(f"WITH s AS (SELECT *, lo // 86400 AS day FROM {_SESSIONS}) SELECT a.day, count(*) AS pairs FROM s a JOIN s b ON a.day = b.day AND a.lo <= b.hi AND b.lo <= a.hi AND a.user_id < b.user_id GROUP BY a.day")
 def interval_overlap(spark, sf_dir):
+    """Pairs of a day that share a point, by a sweep: a start meets all that began before it and haven't ended.  Sessions
+    of one user never overlap."""
     s = sessions(spark, sf_dir).withColumn("day", F.floor(F.col("lo") / 86400))
-    other = s.select("day", F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"), F.col("user_id").alias("other"))
-    return ranges.overlapping(s, other, "day").where("user_id < other").groupBy("day").agg(F.count("*").alias("pairs"))
+    starts = s.select("day", F.col("lo").alias("at"), F.lit(0).alias("side"), "user_id", F.lit(1).alias("d"))
+    ends = s.select("day", F.col("hi").alias("at"), F.lit(1).alias("side"), "user_id", F.lit(-1).alias("d"))
+    order = Window.partitionBy("day").orderBy("at", "side", "user_id").rowsBetween(Window.unboundedPreceding, -1)
+    met = starts.unionByName(ends).withColumn("open", F.coalesce(F.sum("d").over(order), F.lit(0)))
+    return met.where("side = 0").groupBy("day").agg(F.sum("open").alias("pairs")).where("pairs > 0")
 
 
 @query(f"SELECT user_id, min(day) AS lo, max(day) AS hi, count(*) AS n FROM (SELECT user_id, day, day - row_number() OVER (PARTITION BY user_id ORDER BY day) AS g FROM (SELECT DISTINCT user_id, day FROM {_E})) GROUP BY user_id, g")

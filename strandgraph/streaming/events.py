@@ -6,14 +6,14 @@ nothing but a time, moves the watermark past all windows, so that append mode gi
 
 from __future__ import annotations
 
-import posixpath
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import folder
+
 
 def tumbling(events: DataFrame, late: str = "1 day", size: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"))
@@ -45,19 +45,10 @@ def running(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(count, "user_id long, n long, last long", "n long, last long", "append", "NoTimeout")
 
 
-def _shared(spark: SparkSession, label: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file:///tmp/strandgraph-streams"
-    return posixpath.join(base, f"{label}-{uuid.uuid4().hex}")
-
-
 def ended(events: DataFrame, operator: Callable[[DataFrame], DataFrame], far: str | None = "2999-01-01") -> DataFrame:
     """What ``operator`` gives for the whole of ``events`` (a batch table with ts), run as a stream over its files."""
     spark = events.sparkSession
-    source, sink, mark = (_shared(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
+    source, sink, mark = (folder(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
     events.write.parquet(source)
     files = len(spark.read.parquet(source).inputFiles())
     if far is not None:
