@@ -19,8 +19,9 @@ def words(rows: DataFrame, content: str, *keys: str) -> DataFrame:
 
 
 def signs(rows: DataFrame, content: str, *keys: str) -> DataFrame:
-    """keys, pos, sym, after: smallest units and the separator that follows each."""
-    whole = F.transform(F.regexp_extract_all(F.col(content), F.lit("[^-. ]+[-. ]?"), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, "^[^-. ]+", 0).alias("sym"), F.regexp_extract(x, "[-. ]$", 0).alias("after")))
+    """keys, pos, sym, after: smallest units and the separators that follow each; separators at the beginning follow an
+    empty unit, so all of them joined give the text again."""
+    whole = F.transform(F.regexp_extract_all(F.col(content), F.lit("[^-. ]+[-. ]*|^[-. ]+"), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, "^[^-. ]*", 0).alias("sym"), F.regexp_extract(x, "[-. ]*$", 0).alias("after")))
     return rows.select(*keys, F.posexplode(whole).alias("pos", "s")).select(*keys, (F.col("pos") + 1).alias("pos"), "s.sym", "s.after")
 
 

@@ -37,7 +37,7 @@ def word_tokens(spark, sf_dir):
 @query("SELECT doc_id, count(*) AS n_signs, CAST(sum(CASE WHEN s LIKE '%-' OR s LIKE '%.' THEN 1 ELSE 0 END) AS BIGINT) AS n_marked FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^-. ]+[-. ]?')) AS s FROM documents) GROUP BY doc_id")
 def sign_tokens(spark, sf_dir):
     s = text.signs(table(spark, sf_dir, "documents"), "text", "doc_id")
-    return s.groupBy("doc_id").agg(F.count("*").alias("n_signs"), F.sum(F.when(F.col("after").isin("-", "."), 1).otherwise(0)).alias("n_marked"))
+    return s.where("sym <> ''").groupBy("doc_id").agg(F.count("*").alias("n_signs"), F.sum(F.when(F.substring("after", 1, 1).isin("-", "."), 1).otherwise(0)).alias("n_marked"))
 
 
 @query("SELECT doc_id, sha256(text) AS digest, CAST(length(text) AS INTEGER) AS n_chars FROM documents")
