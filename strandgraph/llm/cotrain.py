@@ -263,7 +263,7 @@ def train(seen: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, steps
     share = min(1.0, labelled / max(1, known.count()))
     rows = known.where(draw < share * (1 << 20)).select("doc_id", "label", "x", "m").toArrow()  # bounded by ``labelled``
     order = sorted(range(rows.num_rows), key=lambda i: (zlib.crc32(str(rows["doc_id"][i].as_py()).encode()), rows["x"][i].as_py(), rows["m"][i].as_py()))
-    rows = rows.take(order).combine_chunks()
+    rows = rows.take(pa.array(order, pa.int64())).combine_chunks()
     views = unpacked(rows) if rows.num_rows else [np.zeros((0, 1))] * 2
     model = CoTrained(views, np.array(rows["label"].to_pylist(), np.int64))
     if model.ready:
