@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import os
 import posixpath
-import tempfile
 import uuid
 
 import numpy as np
@@ -14,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import folder as shared_folder
+
 #: Most rows that one Arrow batch hands to Python; bounds a worker's memory when texts are long.
 BATCH_ROWS = 512
 #: Most rows of a few longs that a join sends to all executors (8 MB a column); larger sides are shuffled.
@@ -31,14 +31,6 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below spark.checkpoint.dir; a temporary folder only where that is unset (local runs)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "strandgraph-shared")
-    return posixpath.join(base, f"{label}-{uuid.uuid4().hex}")
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back, so a lost executor costs nothing that came before."""
     spark = df.sparkSession
