@@ -36,7 +36,7 @@ _INDEX_FRAME = 0x184D2A50
 #: Bytes of ids to a frame and of a file.
 FRAME, ROLL = 256 << 10, 256 << 20
 #: Bytes of words and ids that an encoder remembers, what one entry costs beside them, and its longest word.
-REMEMBERED, ENTRY, LONGEST = 24 << 20, 250, 64
+REMEMBERED, ENTRY, LONGEST = 128 << 20, 250, 64
 
 _encoders: dict[str, "Encoder"] = {}
 
