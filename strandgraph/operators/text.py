@@ -18,6 +18,14 @@ def words(rows: DataFrame, content: str, *keys: str) -> DataFrame:
     return rows.select(*keys, F.posexplode(F.regexp_extract_all(F.col(content), F.lit("[^ ]+"), F.lit(0))).alias("pos", "word")).withColumn("pos", F.col("pos") + 1)
 
 
+def concordance(rows: DataFrame, content: str, word: str, *keys: str) -> DataFrame:
+    """keys, pos (from 1), prev, next: every place of ``word`` with its neighbours, null at the ends.  Each row is read
+    by itself, so nothing is shuffled or sorted."""
+    held = rows.select(*keys, F.regexp_extract_all(F.col(content), F.lit("[^ ]+"), F.lit(0)).alias("_w")).where(F.array_contains("_w", word))
+    hits = held.select(*keys, "_w", F.posexplode("_w").alias("_p", "_word")).where(F.col("_word") == word)
+    return hits.select(*keys, (F.col("_p") + 1).alias("pos"), F.get("_w", F.col("_p") - 1).alias("prev"), F.get("_w", F.col("_p") + 1).alias("next"))
+
+
 def signs(rows: DataFrame, content: str, *keys: str) -> DataFrame:
     """keys, pos, sym, after: smallest units and the separators that follow each; separators at the beginning follow an
     empty unit, so all of them joined give the text again."""

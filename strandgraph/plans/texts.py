@@ -93,8 +93,7 @@ def position_in_clause(spark, sf_dir):
 
 @query(f"SELECT doc_id, line, pos, prev, next FROM (SELECT *, lag(word) OVER w AS prev, lead(word) OVER w AS next FROM ({_WORDS}) WINDOW w AS (PARTITION BY doc_id, line ORDER BY pos)) WHERE word = 'the'")
 def concordance(spark, sf_dir):
-    w = Window.partitionBy("doc_id", "line").orderBy("pos")
-    return _words(spark, sf_dir).select("doc_id", "line", "pos", "word", F.lag("word").over(w).alias("prev"), F.lead("word").over(w).alias("next")).where("word = 'the'").drop("word")
+    return text.concordance(text.lines(table(spark, sf_dir, "documents")), "content", "the", "doc_id", "line")
 
 
 @query("SELECT doc_id, CAST(i AS INTEGER) AS pos, array_to_string(w[greatest(1, i - 3) : i - 1], ' ') AS left_context, array_to_string(w[i + 1 : i + 3], ' ') AS right_context FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[^ \\n]+') AS w FROM documents)) WHERE w[i] = 'und'")
