@@ -15,8 +15,15 @@ _INSIDE = rb"(?:[^<>\"']|\"[^\"]*\"|'[^']*')"
 _TOKEN = re.compile(rb"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!" + _INSIDE + rb"*>|<(?P<close>/?)(?P<tag>[^\s<>/!?\"'=]+)(?P<attrs>" + _INSIDE + rb"*?)(?P<alone>/?)>", re.S)
 _ATTR = re.compile(rb"([^\s=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
 _SPAN = pa.schema([("key", pa.int64()), ("outcome", pa.string()), ("tag", pa.string()), ("depth", pa.int32()), ("ord", pa.int32()), *[(f"{a}_{b}", pa.int64()) for a in ("outer", "inner") for b in ("start", "end")], ("attrs", pa.map_(pa.string(), pa.string())), ("self_closing", pa.bool_())])
+_GROUPS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _DDL = "key long, outcome string, tag string, depth int, ord int, outer_start long, outer_end long, inner_start long, inner_end long, attrs map<string,string>, self_closing boolean"
 
+#: Elements inside which white space parts no words, and elements that never stand among a line's words.
+_WRAPPING = frozenset("sGr aGr d num c AO:Sumgram AO:Akkgram".split())
+_FRAMING = frozenset("w lb clb parsep parsep_dbl P___Standard".split())
+#: A group of masked text, where markup and wrapped white space are zero bytes: what leads up to a word, and the word.
+_GROUP = re.compile(rb"[\x00 \t\r\n]*[^\x00 \t\r\n][^ \t\r\n]*")
+
 
 class Malformed(ValueError):
     """The text isn't one well-formed element; the message is the outcome."""
@@ -87,6 +94,64 @@ def spans(texts: DataFrame, key: str, content: str) -> DataFrame:
     return texts.select(F.col(key).cast("long").alias("key"), F.col(content).cast("binary").alias("content")).mapInArrow(run, _DDL)
 
 
+def word_groups(data: bytes) -> list[tuple[int, int]]:
+    """Byte ranges of the words of a line that marks none: white space outside wrapping elements parts them, and goes
+    with the word after it, or at the end with the last one.  The ranges fill the line; a line without a word has none.
+    Malformed names markup that can't stand there."""
+    mask, wrapping, at = bytearray(data), [], 0
+
+    def blank(start: int, end: int):
+        mask[start:end] = bytes(end - start)
+
+    def between(end: int):
+        if b"<" in data[at:end]:
+            raise Malformed("stray_lt")
+        if wrapping:
+            for space in re.finditer(rb"[ \t\r\n]+", data[at:end]):
+                blank(at + space.start(), at + space.end())
+
+    for m in _TOKEN.finditer(data):
+        between(m.start())
+        at = m.end()
+        blank(*m.span())
+        if m["tag"] is None:
+            raise Malformed("not_an_element")
+        tag = m["tag"].decode("utf-8", "replace")
+        if tag in _FRAMING:
+            raise Malformed(f"framing {tag}")
+        if tag in _WRAPPING and not m["close"] and not m["alone"]:
+            wrapping.append(tag)
+        elif tag in _WRAPPING and m["close"]:
+            if not wrapping or wrapping.pop() != tag:
+                raise Malformed(f"unbalanced {tag}")
+        elif m["close"] or not m["alone"]:
+            raise Malformed(f"nested {tag}")
+    between(len(data))
+    if wrapping:
+        raise Malformed(f"unclosed {wrapping[-1]}")
+    ends = [m.end() for m in _GROUP.finditer(mask)]
+    return list(zip([0, *ends[:-1]], [*ends[:-1], len(data)])) if ends else []
+
+
+def unmarked_words(lines: DataFrame, key: str, content: str) -> DataFrame:
+    """key, fault (null: none), groups: ``word_groups`` of each line; a faulty line has none, a null one is empty."""
+
+    def run(batches):
+        for batch in batches:
+            groups, faults = [], []
+            for data in batch.column(1).to_pylist():
+                try:
+                    found, fault = word_groups(data or b""), None
+                except Malformed as e:
+                    found, fault = [], str(e)
+                groups.append([{"start": a, "end": b} for a, b in found])
+                faults.append(fault)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(faults, pa.string()), pa.array(groups, _GROUPS)], ["key", "fault", "groups"])
+
+    kind = lines.schema[key].dataType.simpleString()
+    return lines.select(F.col(key).alias("key"), F.col(content).cast("binary").alias("content")).mapInArrow(run, f"key {kind}, fault string, groups array<struct<start:bigint,end:bigint>>")
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SPAN)], schema=_SPAN)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import parsers
-from ..operators import repair
+from ..operators import markup, repair
 from ..sources import corpus
 from ..sources.tables import table
 from .registry import query
@@ -212,3 +212,36 @@ def edge_roundtrip(spark, sf_dir):
     part = F.floor(F.col("first") / 4096)
     files = lines.groupBy(part.alias("part")).agg(F.concat(F.lit("@edge\n@edgeValues\n\n"), F.array_join(F.array_sort(F.collect_list(F.struct("first", "line")))["line"], "\n"), F.lit("\n")).alias("content"))
     return features.read_edges(files, "part", valued=True).select("src", "dst", "value")
+
+
+_UNMARKED = "'<sGr>A ' || CAST(o_custkey AS STRING) || '</sGr><del_in/>' || CASE o_orderkey % 4 WHEN 0 THEN ' ' WHEN 1 THEN '' WHEN 2 THEN '<lb/>' ELSE '<d>' END || 'x ' || o_orderstatus || '<del_fin/> '"
+
+
+@query("""WITH h AS (SELECT o_orderkey, o_orderkey % 4 AS k, CAST(22 + length(CAST(o_custkey AS VARCHAR)) AS BIGINT) AS h FROM orders)
+SELECT o_orderkey, 'framing lb' AS fault, NULL AS ord, NULL AS "start", NULL AS "end" FROM h WHERE k = 2 UNION ALL SELECT o_orderkey, 'unclosed d', NULL, NULL, NULL FROM h WHERE k = 3
+UNION ALL SELECT o_orderkey, NULL, 0, 0, CASE k WHEN 0 THEN h ELSE h + 1 END FROM h WHERE k < 2 UNION ALL SELECT o_orderkey, NULL, 1, h, h + 2 FROM h WHERE k = 0
+UNION ALL SELECT o_orderkey, NULL, 2, h + 2, h + 15 FROM h WHERE k = 0 UNION ALL SELECT o_orderkey, NULL, 1, h + 1, h + 14 FROM h WHERE k = 1""")
+def unmarked_words(spark, sf_dir):
+    """Words of lines that mark none, by their byte ranges; two kinds of lines can't be read so."""
+    lines = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_UNMARKED).alias("line"))
+    found = markup.unmarked_words(lines, "o_orderkey", "line")
+    return found.select(F.col("key").alias("o_orderkey"), "fault", F.posexplode_outer("groups").alias("ord", "g")).select("o_orderkey", "fault", "ord", "g.start", "g.end")
+
+
+@query("""SELECT o_orderkey, status, CASE WHEN status = 'ok' THEN '<d><w t="a' || s || 'c"/></w></d>' END AS content, CASE WHEN status = 'ok' THEN 1 END AS left_over FROM (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS s,
+ CASE o_orderkey % 7 WHEN 1 THEN 'not in the manifest' WHEN 2 THEN 'text changed' WHEN 3 THEN 'patches changed' WHEN 4 THEN 'places not exact' WHEN 5 THEN 'no recovery event' WHEN 6 THEN 'text missing' ELSE 'ok' END AS status FROM orders)""")
+def prepared_sources(spark, sf_dir):
+    """Texts with a mechanical and a recovery patch, some of which no longer are what was reviewed."""
+    k, s = F.col("o_orderkey") % 7, F.col("o_orderkey").cast("string")
+    bad = F.concat(F.lit('<d><w t="a<parser_error>'), s, F.lit('</parser_error>c"/></w></d>'))
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", bad.alias("content"))
+    done = repair.repaired(texts, "o_orderkey", "content").drop("content")
+    place = F.transform("patches", lambda p, i: F.struct(p["reason"].alias("reason"), (i + 1).alias("i")))
+
+    def lane(mechanical: bool):
+        return F.transform(F.filter(place, lambda p: (p["reason"] == "error element") == F.lit(mechanical)), lambda p: p["i"])
+
+    k2 = F.col("key") % 7
+    policy = done.select("key", F.when(k2 == 2, F.lit("0")).otherwise(F.col("sha256")).alias("sha256"), F.when(k2 == 3, F.lit("0")).otherwise(repair.fingerprint(F.col("patches"))).alias("fingerprint"), lane(True).alias("mechanical"), F.when(k2 != 4, lane(False)).alias("recovery"), F.when(k2 != 5, F.array(F.lit("lost word"))).alias("events"))
+    out = repair.prepared(texts.where(k != 6), done.where(k2 != 1), policy, "o_orderkey", "content")
+    return out.select(F.col("key").alias("o_orderkey"), "status", F.decode("content", "utf-8").alias("content"), F.when(F.col("recovery").isNotNull(), F.size("recovery")).alias("left_over"))

@@ -1,8 +1,11 @@
 """Feature files, offset maps and byte spans against plain Python."""
 
+import hashlib
 import random
 
-from strandgraph.operators import markup, offsets
+from pyspark.sql import functions as F
+
+from strandgraph.operators import markup, offsets, repair
 from strandgraph.sources import features
 
 
@@ -71,3 +74,35 @@ def test_spans(spark):
 def test_balanced():
     assert markup.balanced("f (a (b) c) (d)") == "a (b) c" and markup.balanced("f (a (b) c) (d)", 11) == "d"
     assert markup.balanced(") x (y") is None and markup.balanced("") is None
+
+
+def test_word_groups(spark):
+    for line, want in (
+        ("a b", ["a", " b"]),
+        ("  a\t<x/> b ", ["  a", "\t<x/> b "]),
+        ("<sGr>A <d>B C</d></sGr>-ḫa  <corr c='?'/>", ["<sGr>A <d>B C</d></sGr>-ḫa  <corr c='?'/>"]),
+        ("a<x/>b <num> </num> c", ["a<x/>b", " <num> </num> c"]),
+        ("", []),
+        (" <x/> ", []),
+    ):
+        data = line.encode()
+        assert [data[a:b].decode() for a, b in markup.word_groups(data)] == want
+    rows = [(1, "a <lb/>"), (2, "<d>a</num>"), (3, "<d>a"), (4, "a < b"), (5, "<i>a</i>"), (6, "a</i>"), (7, "a<!-- b -->"), (8, None), (9, "</d>")]
+    got = {r.key: (r.fault, r.groups) for r in markup.unmarked_words(spark.createDataFrame(rows, "id int, line string"), "id", "line").collect()}
+    assert all(not groups for _, groups in got.values())
+    assert [got[k][0] for k in range(1, 10)] == ["framing lb", "unbalanced num", "unclosed d", "stray_lt", "nested i", "nested i", "not_an_element", None, "unbalanced d"]
+
+
+def test_prepared_edges(spark):
+    shape = "key int, sha256 string, patches array<struct<old:binary,new:binary,reason:string>>"
+    rule = "key int, sha256 string, fingerprint string, mechanical array<int>, recovery array<int>, events array<string>"
+    data, patch = b"abc", [(b"x", b"y", "r")]
+    sha = hashlib.sha256(data).hexdigest()
+    texts = spark.createDataFrame([(1, data), (2, data), (3, data)], "id int, body binary")
+    manifest = spark.createDataFrame([(1, sha, patch), (2, sha, []), (3, sha, None)], shape)
+    prints = {r.key: r.f for r in manifest.select("key", repair.fingerprint(F.col("patches")).alias("f")).collect()}
+    assert prints[1] == hashlib.sha256(b'[["eA==","eQ==","r"]]').hexdigest()
+    policy = spark.createDataFrame([(1, sha, prints[1], [1], [], ["e"]), (2, sha, prints[2], None, None, ["e"]), (3, sha, "f", [], [], ["e"])], rule)
+    got = {r.key: (r.status, r.content, r.recovery) for r in repair.prepared(texts, manifest, policy, "id", "body").collect()}
+    assert got == {1: ("does not apply", None, None), 2: ("ok", data, []), 3: ("patches changed", None, None)}
+    assert repair.prepared(texts, manifest, policy.limit(0), "id", "body").count() == 0
