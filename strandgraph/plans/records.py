@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import markup, offsets
-from ..sources import features
+from ..sources import features, shared, signlists
 from ..sources.tables import table
 from .registry import query
 
@@ -52,3 +52,12 @@ def span_scan(spark, sf_dir):
     xml = F.concat(F.lit('<text id="'), F.col("doc_id").cast("string"), F.lit('"><l>'), F.replace(safe, F.lit("\n"), F.lit("</l><l>")), F.lit("</l></text>"))
     texts = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", xml.alias("xml"))
     return markup.spans(texts, "doc_id", "xml").select(F.col("key").alias("doc_id"), "ord", "tag", "depth", "outer_start", "outer_end", "inner_start", "inner_end")
+
+
+@query("SELECT DISTINCT lower(p_brand) AS reading, CAST(p_size AS VARCHAR) AS sign, 'parts' AS source FROM part WHERE p_partkey % 5 > 0 AND p_size IS NOT NULL AND p_brand <> ''")
+def sign_list(spark, sf_dir):
+    """A list of readings and signs, written as text and read as such lists are; a fifth of the readings name a measure."""
+    reading = F.concat("p_brand", F.when(F.col("p_partkey") % 5 == 0, "(x)").otherwise(""))
+    path = shared.folder(spark, "signs")
+    table(spark, sf_dir, "part").select(F.concat(reading, F.lit("\t"), F.col("p_size").cast("string")).alias("value")).where("value IS NOT NULL").write.text(path)
+    return signlists.tab_pairs(spark, path, "parts", spelling=F.lower)
