@@ -44,6 +44,11 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def table_of_few(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows that the driver holds and whose number doesn't grow with the input, to be broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body``; keeps Catalyst from copying a costly expression."""
     return F.element_at(F.transform(F.array(value), body), 1)
