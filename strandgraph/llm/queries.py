@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annulus, cotrain, decontam, html_crf, language_id, minhash, mixing, quality_rules, reverse_merge, secret_scan, token_store, warc
+from . import annulus, cotrain, decontam, forest, html_crf, language_id, minhash, mixing, quality_rules, reverse_merge, secret_scan, token_store, warc
 from .common import table
 
 #: Production tokenizer of the token store and the id that ends a document.
@@ -67,6 +67,10 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op12_reverse_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reverse_merge.versions(table(spark, sf_dir, "client_changes"))
 
@@ -75,7 +79,7 @@ def op13_annulus_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annulus.cluster(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_warc_salvage, op4_html_crf, op5_token_store, op6_language_id, op7_cotraining, op8_decontamination, op9_minhash_dedup, op10_pfair_mix, op12_reverse_merge, op13_annulus_clusters)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_warc_salvage, op4_html_crf, op5_token_store, op6_language_id, op7_cotraining, op8_decontamination, op9_minhash_dedup, op10_pfair_mix, op11_forest_neighbours, op12_reverse_merge, op13_annulus_clusters)}
 
 def _clusters_sql(rounds: int) -> str:
     """Rounds of assignment to all centroids, and of floored means."""
