@@ -1,9 +1,9 @@
 """Quality rules as weak supervision, in DataFrame functions only.
 
 Each rule votes good (1), bad (-1) or abstains (0).  Documents fall into vote patterns (at most 3**rules of
-them), so expectation-maximisation runs over a pattern table that doesn't grow with the corpus; it estimates
-how often each rule gives each vote on good and on bad documents, and the posterior probability that a
-document is good replaces the all-must-pass filter.
+them), so expectation-maximisation runs over pattern counts that don't grow with the corpus; it estimates
+how often each rule gives each vote on good and on bad documents, and the share of good ones.  The posterior
+probability that a document is good replaces the all-must-pass filter.
 
 Edge cases: null and empty texts have no words, fail the base rule and aren't kept; an empty table gives an
 empty result; repeated rows each give a row; other columns are ignored, whatever their names.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,29 +97,52 @@ def rules() -> dict[str, Column]:
 
 
 def _log_odds(votes: Column, names: list[str], model: dict) -> Column:
-    """ln P(good | votes) / P(bad | votes); the weights are an array literal, so each round compiles to the same code."""
+    """ln P(good | votes) / P(bad | votes); a rule that abstains says nothing of a document.  The weights are an array
+    literal, so they don't change the code that Spark compiles."""
     weights = [math.log(model["votes"][n][v][0] / model["votes"][n][v][1]) if v else 0.0 for n in names for v in (-1, 0, 1)]
     weights = F.array(*[F.lit(x) for x in weights])
     each = F.transform(votes, lambda v, i: F.get(weights, i * 3 + v + 1))
     return F.aggregate(each, F.lit(math.log(model["prior"] / (1 - model["prior"]))), lambda a, x: a + x)
 
 
-def fit(votes: DataFrame, names: list[str], rounds: int = 12, smooth: float = 2.0) -> dict:
-    """EM over the patterns of the array column ``votes``.  A good document is likelier to get good votes, which
-    tells the two classes apart; ``smooth`` counts of the starting belief keep every probability inside (0, 1),
-    also for an empty table.  The driver gets three sums for each rule and vote, whatever the corpus."""
-    patterns = materialise(votes.groupBy("votes").count().coalesce(1), "quality-patterns")
-    start = {1: (0.8, 0.65), -1: (0.005, 0.4)}
-    model = {"prior": 0.85, "votes": {n: start for n in names}}
-    for _ in range(rounds):
-        p = (1 / (1 + F.exp(-_log_odds(F.col("votes"), names, model)))).alias("p")
-        each = patterns.select("count", p, F.posexplode("votes").alias("rule", "vote"))
-        sums = {(r[0], r[1]): (float(r[2]), float(r[3])) for r in each.groupBy("rule", "vote").agg(F.sum(F.col("count") * F.col("p")), F.sum(F.col("count") * (1 - F.col("p")))).collect()}
-        good, bad = (sum(sums.get((0, v), (0, 0))[k] for v in (-1, 0, 1)) for k in (0, 1))
-        spread = smooth + 0.02 * (good + bad)  # the starting belief weighs as much as a fiftieth of the corpus
-        estimate = lambda i, v: tuple((sums.get((i, v), (0, 0))[k] + start[v][k] * spread) / ((good, bad)[k] + spread) for k in (0, 1))
-        model = {"prior": min(0.97, max(0.5, (good + 0.85 * spread) / (good + bad + spread))), "votes": {n: {v: estimate(i, v) for v in (-1, 1)} for i, n in enumerate(names)}}
-    return model
+#: Where the rounds start: how often a rule votes -1, 0 and 1 on good and on bad documents.
+_START = ((0.05, 0.3), (0.35, 0.4), (0.6, 0.3))
+
+
+def fit(votes: DataFrame, names: list[str], false_alarms: float = 0.1, smooth: float = 1.0) -> dict:
+    """EM over the patterns of the array column ``votes``, until a round no longer raises the likelihood.
+
+    The share of good documents is free between 0 and 1 and starts at a half.  Which class is the good one, and what
+    rules that hardly disagree can't tell, is settled by one bound on the rates: a rule votes bad on at most the share
+    ``false_alarms`` of the good documents.  Each round takes the best rates within it, so where the true rates keep to
+    it the estimates are those of plain maximum likelihood.  ``smooth`` votes are spread over a rule's three outcomes,
+    whatever the corpus, which keeps every rate inside (0, 1), also for an empty table.
+
+    The driver gets a count for each pattern, at most 3**rules of them, whatever the corpus."""
+    counts = sorted((tuple(r["votes"]), r["count"]) for r in votes.groupBy("votes").count().collect())
+    seen = np.array([v for v, _ in counts], int).reshape(len(counts), len(names)) + 1
+    n = np.array([c for _, c in counts], float)
+    is_vote = seen[:, :, None] == np.arange(3)  # pattern, rule, vote
+    prior, rates, before = 0.5, np.tile(np.array(_START), (len(names), 1, 1)), -math.inf
+    while True:
+        logs = np.einsum("prv,rvk->pk", is_vote, np.log(rates)) + np.log([prior, 1 - prior])
+        whole = np.logaddexp(logs[:, 0], logs[:, 1])
+        likelihood = float(n @ whole)
+        if likelihood - before <= 1e-10 * abs(likelihood):
+            break
+        before = likelihood
+        share = np.exp(logs - whole[:, None]) * n[:, None]
+        total = share.sum(0)
+        rates = (np.einsum("prv,pk->rvk", is_vote, share) + smooth / 3) / (total + smooth)
+        over = rates[:, 0, 0] > false_alarms
+        rates[over, 1:, 0] *= ((1 - false_alarms) / (1 - rates[over, 0, 0]))[:, None]
+        rates[over, 0, 0] = false_alarms
+        prior = float((total[0] + smooth / 2) / (total.sum() + smooth))
+    return {"prior": prior, "votes": {name: {v: tuple(map(float, rates[i, v + 1])) for v in (-1, 1)} for i, name in enumerate(names)}}
+
+
+#: Share of good documents that a production rule may call bad.
+FALSE_ALARMS = 0.01
 
 
 def score(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5) -> DataFrame:
@@ -127,6 +151,6 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: f
     measured = materialise(measures(docs, text, key), "quality-measures")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     voted = measured.select("*", F.array(*named.values()).alias("votes"), base.alias("base_failed"))
-    model = fit(voted.where(~F.col("base_failed")).select("votes"), list(named))  # the base rule has decided the others
+    model = fit(voted.where(~F.col("base_failed")).select("votes"), list(named), FALSE_ALARMS)  # the base rule has decided the others
     scored = voted.select("*", (1 / (1 + F.exp(-_log_odds(F.col("votes"), list(named), model)))).alias("quality"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
