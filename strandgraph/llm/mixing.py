@@ -7,7 +7,8 @@ one block a slot this keeps every source less than one block away from w times t
 
 Weights are exact fractions, a float the decimal number that it prints as, and all slots are computed with
 whole numbers, one after the other in one task that holds a few numbers for each source and passes on a row for
-each block.  When a source runs out, the others share its weight from then on: no document is dropped or
+each block.  Blocks grow with the corpus so that there are at most about ``SLOTS`` of them, a matter of seconds,
+and the schedule is written before it is used, so a lost executor costs no more.  When a source runs out, the others share its weight from then on: no document is dropped or
 repeated.  There are at most as many such phases as sources.
 
 Edge cases: a null source is a source of its own; rows that repeat a key are ordered by their content; a
@@ -30,8 +31,8 @@ from pyspark.sql import Window
 
 from .common import materialise, sized
 
-#: Documents in a block.
-BLOCK = 16
+#: Documents in a block, at least, and slots of a schedule, at most about: a larger corpus has larger blocks.
+BLOCK, SLOTS = 16, 4_000_000
 #: Rows of the schedule that are passed on at once.
 SLOT_ROWS = 8192
 
@@ -118,13 +119,14 @@ def ranked(docs: DataFrame, source: str, key: str, seed: int, carry: bool) -> Da
     return local.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("doc_id", "source", (F.col("start") + F.col("place")).cast("long").alias("number"), *(["row"] if carry else []))
 
 
-def mix(docs: DataFrame, weights: Mapping | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, power: float = 0.5, seed: int = 7, carry: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping | None = None, source: str = "source", key: str = "doc_id", block: int | None = None, power: float = 0.5, seed: int = 7, carry: bool = False) -> DataFrame:
     """Per document: source, number in it, block, slot, release, deadline and mix_position (unique, 0 up).
 
     weights: targets by source, of any sum; by default the rows of the source to the ``power``.  carry: adds the
     whole row as the struct ``row``."""
     spark = docs.sparkSession
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).alias("source")).count().toLocalIterator()}  # a row for each source
+    block = block or max(BLOCK, -(-sum(counts.values()) // SLOTS))
     given = dict(weights) if weights else {n: c**power for n, c in counts.items()}
     mean = sum(given.values()) / len(given) if given else 1.0
     target = {n: given.get(n, mean) for n in counts}
