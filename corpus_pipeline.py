@@ -7,8 +7,10 @@ the last stage takes from the files' names and row numbers and writes in.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandgraph.llm import cotrain, decontam, minhash, mixing, token_store
@@ -38,21 +40,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates, and one row of it.
+    """Keeps one document of each group of near duplicates: the smallest doc_id, where no id repeats.
 
-    Of rows that repeat an id the one with the smallest text (then source, lang, n_chars; nulls first) stays.  Rows
-    with a null id are linked with nothing and stay; an empty table stays empty; other columns pass through."""
-    out = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    left = docs.join(out, docs["doc_id"] == out["__dropped"], "left_anti")
+    Rows of one id with different texts, and rows with a null id, are documents of their own, which go under a 64-bit
+    hash of id and text; of rows with equal id and text one stays, with the smallest source, lang and n_chars (nulls
+    first).  Null and empty texts without an equal id stay; an empty table stays empty; other columns pass through."""
     again = materialise(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("__n")).where("__n > 1").select("__again"), "repeated-keys")
-    if not again.take(1):
-        return left
-    once = left.join(again, left["doc_id"] == again["__again"], "left_anti")
-    rows = left.join(again, left["doc_id"] == again["__again"], "left_semi")
-    order = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
+    unique = not again.take(1) and not docs.where("doc_id IS NULL").take(1)
+    unit = F.col("doc_id").cast("long")
+    if unique:
+        named = docs.withColumn("__unit", unit)
+    else:
+        apart = F.col("doc_id").isNull() | F.col("__again").isNotNull()
+        named = docs.join(again, docs["doc_id"] == again["__again"], "left").withColumn("__apart", apart)
+        named = materialise(named.withColumn("__unit", F.when(apart, F.xxhash64("doc_id", F.col("text").isNull(), "text")).otherwise(unit)).drop("__again"), "named")
+    found = minhash.near_duplicates(named.select(F.col("__unit").alias("doc_id"), "text"))
+    out = found.where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    left = named.join(out, named["__unit"] == out["__dropped"], "left_anti")
+    if unique:
+        return left.select(*docs.columns)
+    order = [c for c in ("source", "lang", "n_chars") if c in docs.columns]
     order += [f.name for f in docs.schema if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
-    least = rows.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), *order)).alias("__row"))
-    return once.unionByName(least.select("__row.*"))
+    one = left.where("__apart").groupBy("__unit").agg(F.min_by(F.struct(*docs.columns), F.struct(*order)).alias("__row"))
+    return left.where("NOT __apart").select(*docs.columns).unionByName(one.select("__row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,23 +82,31 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, carry=True).orderBy("mix_position").select("row.*")
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, order: list[Column] | None = None) -> DataFrame:
     """Writes the token ids in the order of the rows and returns what the files say of each document.
 
-    Null and empty texts have only the end id; rows that repeat an id, also the null id, each have a row; an empty
-    table gives an empty result; other columns are ignored.  Rows that come from no file are put in the order of
-    doc_id."""
+    Rows read from files lie in the order of the files and of the rows in them: a name's part number, then the number
+    of the file within its part, as a task that splits its output gives several; files named otherwise come first, by
+    name.  Rows that come from no file have no place, so the caller gives the ``order``; without one they are put in
+    that of doc_id, with a warning.  Null and empty texts have only the end id; rows that repeat an id, also the null
+    id, each have a row; an empty table gives an empty result; other columns are ignored."""
+    if order is not None:
+        docs = materialise(docs.orderBy(*order).select("doc_id", "text"), "ordered")
     try:
-        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
-        placed = docs.select("doc_id", "text", F.regexp_extract(name, "part-(\\d+)", 1).alias("__part"), row.alias("__row"))
-    except AnalysisException:  # no file, no place
+        docs.select("_metadata.file_name")
+    except AnalysisException:
+        warnings.warn("the rows come from no file; their ids are written in the order of doc_id", stacklevel=2)
         return token_store.round_trip(docs, tokenizer_path(), END_ID)
-    return token_store.round_trip(placed, tokenizer_path(), END_ID, (F.col("__part"), F.col("__row")))
+    name = F.col("_metadata.file_name")
+    number = lambda k: F.lpad(F.regexp_extract(name, "^part-(\\d+)-.*?-c(\\d+)\\.", k), 20, "0")
+    placed = docs.select("doc_id", "text", F.concat(number(1), number(2), name).alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return token_store.round_trip(placed, tokenizer_path(), END_ID, (F.col("__file"), F.col("__row")))
 
 
 STAGES = [("quality classifier", quality), ("minhash near-dedup", near_duplicates), ("benchmark decontamination", decontaminate), ("mixing", mix), ("token ids", tokens)]
 
-#: The classifier and the tokenizer have no SQL; the tests hold each stage against plain Python.
+#: The classifier and the tokenizer have no SQL.  Tests hold near-dedup and decontamination against plain Python row by
+#: row, the classifier's stage against its verdicts, and the mix's order and each document's ids against plain Python.
 ORACLE_SQL = None
 
 
