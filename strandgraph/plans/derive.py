@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import align, hierarchy, ranges, sequences, stats, template
+from ..operators import align, hierarchy, ordered, ranges, sequences, stats, template
 from ..sources.tables import table
 from ..streaming import events as streams
 from .intervals import _E, _SESSIONS, events, sessions
@@ -48,30 +48,56 @@ def empty_anchors(spark, sf_dir):
     return hierarchy.anchors(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%' AND o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
 
 
-_COMPOUNDS = {"MEŠ": "𒈨𒌍"}
-_LINE = """CASE p_size % 7 WHEN 0 THEN 'ša b|𒀀 𒀁|n' WHEN 1 THEN 'MEŠ b|𒈨 𒌍 𒀁|n' WHEN 2 THEN '12 b|𒌋 𒁹 𒁹 𒀁|n' WHEN 3 THEN 'a b|𒀀 ▒ 𒀁|y' WHEN 4 THEN 'x b|𒀀 𒀂 𒀁|y' WHEN 5 THEN 'MEŠ b|𒈨 𒌍 ▒ 𒀁|y' ELSE 'a …|𒀀 𒀁|n' END"""
+_COMPOUNDS = {"MEŠ": "𒈨𒌍", "ZI.GA": "𒍣𒂵"}
+#: Lines drawn from the lineitems of an order: each is a syllable, a compound, a numeral or a trace, and some leave a
+#: surplus placeholder behind.  Every thirteenth order begins with a compound that is torn.
+_KIND = "CASE WHEN l_partkey % 11 = 0 THEN 'trace' WHEN l_partkey % 7 = 0 THEN 'compound' WHEN l_partkey % 7 = 1 THEN 'numeral' ELSE 'sign' END"
+_N = "element_at(array(2, 3, 4, 11, 12, 13, 20, 21, 22, 30, 31), CAST(l_partkey % 11 AS INT) + 1)"
+_DRAWN = f"""WITH n AS (SELECT unnest([2, 3, 4, 11, 12, 13, 20, 21, 22, 30, 31]) AS value, unnest(range(11)) AS k),
+t AS (SELECT l_orderkey AS line_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_tax) + CASE WHEN l_orderkey % 13 = 0 THEN 4 ELSE 0 END AS pos, {_KIND} AS kind, l_tax > 0.06 AS surplus, l_partkey, l_suppkey FROM lineitem),
+drawn AS (SELECT line_id, pos, kind, surplus, CASE kind WHEN 'trace' THEN 'x' WHEN 'compound' THEN CASE WHEN l_suppkey % 2 = 0 THEN 'MEŠ' ELSE 'ZI.GA' END WHEN 'numeral' THEN CAST(value AS VARCHAR) ELSE 's' || CAST(l_partkey % 20 AS VARCHAR) END AS reading,
+  CASE kind WHEN 'trace' THEN '▒' WHEN 'compound' THEN CASE WHEN l_suppkey % 2 = 0 THEN '𒈨𒌍' ELSE '𒍣𒂵' END WHEN 'numeral' THEN repeat('𒌋', value // 10) || repeat('𒁹', value % 10) ELSE chr(CAST(73728 + l_partkey % 20 AS INTEGER)) END AS glyph FROM t JOIN n ON k = l_partkey % 11
+ UNION ALL SELECT o, p, kind, p = 4, reading, glyph FROM (SELECT DISTINCT l_orderkey AS o FROM lineitem WHERE l_orderkey % 13 = 0), (SELECT unnest(range(1, 5)) AS p, unnest(['torn', 'torn', 'trace', 'compound']) AS kind, unnest(['MEŠ', 'b', 'x', 'ZI.GA']) AS reading, unnest(['𒈨', '𒌍', '▒', '𒍣𒂵']) AS glyph)),
+lines AS (SELECT line_id, bool_or(kind IN ('torn', 'compound')) AS c, bool_or(kind = 'numeral') AS m, bool_or(surplus) AS s FROM drawn GROUP BY line_id),
+found AS (SELECT line_id, c, m, s, CASE WHEN s THEN CASE WHEN m THEN 0 WHEN c THEN 3 ELSE 2 END WHEN m THEN 4 WHEN c THEN 3 ELSE 1 END AS level FROM lines)"""
 
 
 def _lines(spark, sf_dir):
-    parts = F.split(F.expr(_LINE), "[|]")
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_id"), F.split(parts[0], " ").alias("readings"), F.split(parts[1], " ").alias("glyphs"), (parts[2] == "y").alias("damaged"))
-
-
-@query("""SELECT p_partkey AS line_id, CASE p_size % 7 WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 2 WHEN 5 THEN 3 ELSE 0 END AS level, CASE p_size % 7 WHEN 0 THEN '𒀀 𒀁' WHEN 1 THEN '𒈨𒌍 𒀁' WHEN 2 THEN '𒌋𒁹𒁹 𒀁' WHEN 3 THEN '𒀀 𒀁' WHEN 5 THEN '𒈨𒌍 𒀁' ELSE '' END AS signs,
- CASE p_size % 7 WHEN 0 THEN 'zip' WHEN 1 THEN 'compound' WHEN 2 THEN 'numeral' WHEN 3 THEN 'damage' WHEN 5 THEN 'damage+compound' ELSE '' END AS method FROM part""")
+    kind, even, n = F.expr(_KIND), F.col("l_suppkey") % 2 == 0, F.expr(_N)
+    glyphs = lambda *xs: F.array(*map(F.lit, xs))
+    tokens = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("line_id"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_tax").alias("at"), (F.col("l_tax") > 0.06).alias("surplus"),
+        F.when(kind == "trace", "x").when(kind == "compound", F.when(even, "MEŠ").otherwise("ZI.GA")).when(kind == "numeral", n.cast("string")).otherwise(F.concat(F.lit("s"), (F.col("l_partkey") % 20).cast("string"))).alias("reading"),
+        F.when(kind == "trace", glyphs("▒")).when(kind == "compound", F.when(even, glyphs("𒈨", "𒌍")).otherwise(glyphs("𒍣", "𒂵"))).when(kind == "numeral", F.concat(F.array_repeat(F.lit("𒌋"), F.floor(n / 10).cast("int")), F.array_repeat(F.lit("𒁹"), (n % 10).cast("int"))))
+        .otherwise(F.array(F.element_at(glyphs(*[chr(0x12000 + i) for i in range(20)]), (F.col("l_partkey") % 20 + 1).cast("int")))).alias("glyph"),
+    )
+    whole = tokens.groupBy("line_id").agg(F.array_sort(F.collect_list(F.struct("at", "reading", "glyph", "surplus"))).alias("t"))  # an order's lineitems
+    torn = F.col("line_id") % 13 == 0
+    readings, surplus = F.transform("t", lambda x: x["reading"]), F.transform("t", lambda x: F.when(x["surplus"], F.concat(x["glyph"], glyphs("▒"))).otherwise(x["glyph"]))
+    return whole.select(
+        "line_id", F.when(torn, F.concat(glyphs("MEŠ", "b", "x", "ZI.GA"), readings)).otherwise(readings).alias("readings"),
+        F.when(torn, F.concat(glyphs("𒈨", "𒌍", "▒", "𒍣", "𒂵", "▒"), F.flatten(surplus))).otherwise(F.flatten(surplus)).alias("glyphs"), (torn | F.exists("t", lambda x: x["surplus"])).alias("damaged"),
+    )
+
+
+_VALUE = "CASE WHEN level > 0 AND kind <> 'torn' THEN glyph END"
+
+
+@query(f"""{_DRAWN} SELECT line_id, level, coalesce(string_agg({_VALUE}, ' ' ORDER BY pos), '') AS signs, CASE WHEN level = 0 THEN '' WHEN level = 1 THEN 'zip' WHEN level = 2 THEN 'damage' WHEN level = 4 THEN 'numeral' WHEN s THEN 'damage+compound' ELSE 'compound' END AS method
+ FROM drawn JOIN found USING (line_id) GROUP BY line_id, level, s""")
 def sequence_alignment(spark, sf_dir):
+    """Drawn lines: all levels, traces, surplus placeholders, and torn compounds whose values are withheld."""
     found = align.align(_lines(spark, sf_dir), _COMPOUNDS)
     return found.select("line_id", "level", F.array_join("values", " ").alias("signs"), F.array_join("methods", "+").alias("method"))
 
 
-@query("""SELECT p_partkey AS line_id, pos, CASE WHEN k IN (4, 6) THEN NULL WHEN pos = 2 THEN '𒀁' WHEN k IN (1, 5) THEN '𒈨𒌍' WHEN k = 2 THEN '𒌋𒁹𒁹' ELSE '𒀀' END AS cu_sign, CASE WHEN k IN (4, 6) THEN NULL WHEN pos = 2 OR k IN (0, 3) THEN 1 WHEN k = 2 THEN 3 ELSE 2 END AS cu_nsigns
- FROM (SELECT p_partkey, p_size % 7 AS k, unnest([1, 2]) AS pos FROM part)""")
+@query(f"""{_DRAWN} SELECT line_id, pos, {_VALUE} AS cu_sign, CAST(length({_VALUE}) AS INTEGER) AS cu_nsigns FROM drawn JOIN found USING (line_id)""")
 def alignment_projection(spark, sf_dir):
     lines = _lines(spark, sf_dir)
     return align.project(lines, align.align(lines, _COMPOUNDS)).select("line_id", "pos", "cu_sign", "cu_nsigns")
 
 
-@query("""SELECT level, count(*) AS lines, CAST(sum(signs) AS BIGINT) AS signs, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM (SELECT CASE p_size % 7 WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 3 THEN 2 WHEN 5 THEN 3 ELSE 0 END AS level, CASE WHEN p_size % 7 IN (4, 6) THEN 0 ELSE 2 END AS signs FROM part) GROUP BY level""")
+@query(f"""{_DRAWN} SELECT level, count(*) AS lines, CAST(sum(n) AS BIGINT) AS signs, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM (SELECT line_id, level, count({_VALUE}) AS n FROM drawn JOIN found USING (line_id) GROUP BY 1, 2) GROUP BY level""")
 def alignment_coverage(spark, sf_dir):
     """Lines and decided signs by level, and each level's share."""
     found = align.align(_lines(spark, sf_dir), _COMPOUNDS)
@@ -80,17 +106,19 @@ def alignment_coverage(spark, sf_dir):
     return each.join(F.broadcast(total)).select("level", "lines", "signs", F.round(100.0 * F.col("lines") / F.col("_n"), 4).alias("share"))  # one row
 
 
-@query("""SELECT reading, glyph, top_obs, total_obs, CAST(1 AS DOUBLE) AS confidence FROM (SELECT 'b' AS reading, '𒀁' AS glyph, count(*) AS top_obs, count(*) AS total_obs FROM part WHERE p_size % 7 = 0 UNION ALL SELECT 'ša', '𒀀', count(*), count(*) FROM part WHERE p_size % 7 = 0 UNION ALL SELECT 'a', '𒀀', count(*), count(*) FROM part WHERE p_size % 7 = 6 UNION ALL SELECT '…', '𒀁', count(*), count(*) FROM part WHERE p_size % 7 = 6) WHERE total_obs >= 5""")
+@query(f"""{_DRAWN} SELECT reading, glyph, count(*) AS top_obs, count(*) AS total_obs, CAST(1 AS DOUBLE) AS confidence FROM drawn JOIN found USING (line_id) WHERE level = 1 GROUP BY reading, glyph HAVING count(*) >= 5""")
 def learned_signs(spark, sf_dir):
     return align.learn_pairs(_lines(spark, sf_dir))
 
 
-@query("""SELECT reading, glyph, n AS top_obs, n AS total_obs, CAST(1 AS DOUBLE) AS confidence FROM (SELECT 'MEŠ' AS reading, '𒈨𒌍' AS glyph, count(*) AS n FROM part WHERE p_size % 7 = 1 UNION ALL SELECT '12', '𒌋𒁹𒁹', count(*) FROM part WHERE p_size % 7 = 2) WHERE n >= 5""")
+@query(f"""{_DRAWN}, single AS (SELECT reading FROM drawn JOIN found USING (line_id) WHERE level = 1 GROUP BY reading HAVING count(*) >= 5),
+p AS (SELECT d.*, kind IN ('compound', 'numeral') AS multi, kind NOT IN ('compound', 'numeral') AND reading NOT IN (SELECT reading FROM single) AS unknown FROM drawn d JOIN found USING (line_id) WHERE NOT s AND level > 1),
+w AS (SELECT *, sum(CASE WHEN unknown OR multi AND following THEN 1 ELSE 0 END) OVER (PARTITION BY line_id ORDER BY pos) AS stops FROM (SELECT *, coalesce(lead(multi OR unknown) OVER (PARTITION BY line_id ORDER BY pos), false) AS following FROM p))
+SELECT reading, glyph, count(*) AS top_obs, count(*) AS total_obs, CAST(1 AS DOUBLE) AS confidence FROM w WHERE multi AND stops = 0 GROUP BY reading, glyph HAVING count(*) >= 5""")
 def learned_compounds(spark, sf_dir):
-    """Compounds between readings that the map of single signs anchors."""
+    """Compounds and numerals between readings that the map of single signs anchors; two side by side end a line's search."""
     lines = _lines(spark, sf_dir)
-    single = {r["reading"]: r["glyph"] for r in align.learn_pairs(lines).where("reading = 'b'").collect()}  # a small map
-    return align.learn_compounds(lines.where("NOT damaged"), single)
+    return align.learn_compounds(lines.where("NOT damaged"), align.learn_pairs(lines))
 
 
 @query("""WITH b AS (SELECT *, sum(CASE WHEN kind = 'barrier' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS blk FROM (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 = 0 THEN 'barrier' WHEN o_orderstatus = 'O' THEN 'separator' ELSE 'entry' END AS kind FROM orders)),
@@ -180,7 +208,7 @@ def point_in_interval(spark, sf_dir):
 def chained_components(spark, sf_dir):
     """Components of chains: each document is linked with the next one of its source only."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    edges = docs.select(F.col("doc_id").alias("a"), F.lead("doc_id").over(Window.partitionBy("source").orderBy("doc_id")).alias("b")).where("b IS NOT NULL")
+    edges = ordered.following(docs, ["source"], ["doc_id"], ["doc_id"]).select(F.col("doc_id").alias("a"), F.col("next.doc_id").alias("b")).where("b IS NOT NULL")
     return stats.min_label_components(edges)
 
 
