@@ -8,17 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def outer(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join in which null keys are values: the keys, ``a`` and ``b`` (structs of the other columns, null where
+    a side has no row) of each pair."""
+    left = a.select(*[F.col(k).alias(f"_a{i}") for i, k in enumerate(keys)], F.struct(F.lit(True).alias("_in"), *[c for c in a.columns if c not in keys]).alias("a"))
+    right = b.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], F.struct(F.lit(True).alias("_in"), *[c for c in b.columns if c not in keys]).alias("b"))
+    same = reduce(lambda x, y: x & y, [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(keys))])
+    return left.join(right, same, "full_outer").select(*[F.coalesce(f"_a{i}", f"_b{i}").alias(k) for i, k in enumerate(keys)], "a", "b")
+
+
 def bag_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose multiplicity differs, with both counts."""
-    n = a.groupBy(*keys).agg(F.count("*").alias("n_a")).join(b.groupBy(*keys).agg(F.count("*").alias("n_b")), keys, "full_outer")
-    return n.select(*keys, F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b")).where("n_a <> n_b")
+    """Keys whose multiplicity differs, with both counts; null keys are values.  One shuffle of counts."""
+    rows = a.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(b.select(*keys, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    return rows.groupBy(*keys).agg(F.sum("_a").alias("n_a"), F.sum("_b").alias("n_b")).where("n_a <> n_b")
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str, mark: str) -> DataFrame:
-    """key, status: missing, unexpected, altered or same."""
-    b = after.select(F.col(key).alias("_k"), F.col(mark).alias("_m"))
-    status = F.when(F.col("_k").isNull(), "missing").when(F.col(key).isNull(), "unexpected").when(~F.col(mark).eqNullSafe(F.col("_m")), "altered").otherwise("same")
-    return before.select(key, mark).join(b, F.col(key) == F.col("_k"), "full_outer").select(F.coalesce(key, "_k").alias(key), status.alias("status"))
+    """key, status: missing, unexpected, altered or same; a null key or mark is a value."""
+    both = outer(before.select(key, F.col(mark).alias("m")), after.select(key, F.col(mark).alias("m")), [key])
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "unexpected").when(~F.col("a.m").eqNullSafe(F.col("b.m")), "altered").otherwise("same")
+    return both.select(key, status.alias("status"))
 
 
 def transitions(rows: DataFrame, before: Column, after: Column) -> DataFrame:
@@ -28,30 +37,35 @@ def transitions(rows: DataFrame, before: Column, after: Column) -> DataFrame:
 
 
 def drift(observed: DataFrame, declared: DataFrame, name: str) -> DataFrame:
-    """Names on one side only: undeclared or unobserved."""
-    a = observed.select(name).distinct().join(declared.select(name), name, "left_anti").withColumn("status", F.lit("undeclared"))
-    return a.unionByName(declared.select(name).distinct().join(observed.select(name), name, "left_anti").withColumn("status", F.lit("unobserved")))
+    """Names on one side only: undeclared or unobserved; null is a name."""
+    both = outer(observed.select(name).distinct(), declared.select(name).distinct(), [name]).where("a IS NULL OR b IS NULL")
+    return both.select(name, F.when(F.col("b").isNull(), "undeclared").otherwise("unobserved").alias("status"))
 
 
 def conserved(counts: dict[str, DataFrame], key: str) -> DataFrame:
-    """One count column for each derivation and whether all agree."""
+    """One count column for each derivation and whether all agree; null is a key, and a key's rows add up."""
     names = list(counts)
-    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), [df.select(key, F.col("n").alias(n)) for n, df in counts.items()])
-    filled = joined.select(key, *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names])
+    rows = reduce(DataFrame.unionByName, [df.select(key, *[(F.col("n") if n == m else F.lit(0)).cast("long").alias(m) for m in names]) for n, df in counts.items()])
+    summed = rows.groupBy(key).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     agree = reduce(lambda x, y: x & y, [F.col(names[0]) == F.col(n) for n in names[1:]])
-    return filled.withColumn("balanced", agree)
+    return summed.withColumn("balanced", agree)
+
+
+def row_digest(columns: list[str]) -> Column:
+    """A digest that differs for rows that differ: each value goes in with its length, null with none."""
+    parts = [F.when(F.col(c).isNull(), "-").otherwise(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string"))) for c in columns]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def fingerprint(rows: DataFrame, order: str, columns: list[str], by: list[str], span: int = 4096) -> DataFrame:
     """A digest of each group that doesn't depend on how rows are dealt out: rows' digests are digested for each range of
     ``span`` keys, then those.  No task holds a group, only a range and a group's list of ranges."""
-    row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]), 256)
 
     def digest(key, value):
         return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value.alias("_d")))), lambda x: x["_d"]), ""), 256)
 
     part = F.floor(F.col(order) / span).alias("_part")
-    ranges = rows.groupBy(*by, part).agg(F.count("*").alias("_n"), digest(order, row).alias("_r"))
+    ranges = rows.groupBy(*by, part).agg(F.count("*").alias("_n"), digest(order, row_digest(columns)).alias("_r"))
     return ranges.groupBy(*by).agg(F.sum("_n").alias("n"), digest("_part", F.col("_r")).alias("digest"))
 
 
@@ -82,11 +96,10 @@ def agreement(ballots: DataFrame, item: str, lineage: str, choice: str) -> DataF
 
 
 def delta(before: DataFrame, after: DataFrame, key: str, mark: str) -> DataFrame:
-    """key, kind of each key of two tables: added, withdrawn, replaced or unchanged; a null mark is a value."""
-    a = before.select(F.col(key).alias("_a"), F.struct(F.col(mark).alias("v")).alias("_x"))
-    b = after.select(F.col(key).alias("_b"), F.struct(F.col(mark).alias("v")).alias("_y"))
-    kind = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "withdrawn").when(F.col("_x").eqNullSafe(F.col("_y")), "unchanged").otherwise("replaced")
-    return a.join(b, F.col("_a") == F.col("_b"), "full_outer").select(F.coalesce("_a", "_b").alias(key), kind.alias("kind"))
+    """key, kind of each key of two tables: added, withdrawn, replaced or unchanged; a null key or mark is a value."""
+    both = outer(before.select(key, F.col(mark).alias("m")), after.select(key, F.col(mark).alias("m")), [key])
+    kind = F.when(F.col("a").isNull(), "added").when(F.col("b").isNull(), "withdrawn").when(F.col("a.m").eqNullSafe(F.col("b.m")), "unchanged").otherwise("replaced")
+    return both.select(key, kind.alias("kind"))
 
 
 def population(observed: DataFrame, expected: dict[str, int]) -> DataFrame:
@@ -103,11 +116,9 @@ def ceilings(figures: DataFrame, most: dict[str, float]) -> DataFrame:
     return figures.select("name", F.col("value").cast("double").alias("value"), limit.alias("most"), F.coalesce(F.col("value") <= limit, F.lit(False)).alias("ok"))
 
 
-def gates(results: list[tuple[str, DataFrame]], marks) -> list[tuple[str, bool, int]]:
-    """(name, passed, failing rows) of gates in order, each a table of violations; ``marks()`` names the state of the
-    inputs, and a gate after which it differs fails."""
-    out, before = [], marks()
-    for name, violations in results:
-        n = violations.count()
-        out.append((name, n == 0 and marks() == before, n))
-    return out
+def gates(results: list[tuple[str, DataFrame]], before: DataFrame, after: DataFrame) -> DataFrame:
+    """gate, passed, failing of gates, each a table of violations: one plan, which runs when it is asked for.  ``before``
+    and ``after`` are one row each that names the state of the inputs; where they differ every gate fails."""
+    counts = reduce(DataFrame.unionByName, [v.agg(F.count("*").alias("failing")).select(F.lit(n).alias("gate"), "failing") for n, v in results])
+    marks = before.select(F.struct("*").alias("_x")).join(F.broadcast(after.select(F.struct("*").alias("_y"))))  # one row each
+    return counts.join(F.broadcast(marks)).select("gate", ((F.col("failing") == 0) & F.col("_x").eqNullSafe(F.col("_y"))).alias("passed"), "failing")

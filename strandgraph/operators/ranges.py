@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running_sum
+
 
 def pair_ranges(marks: DataFrame, by: list[str], line: str, order: list[str], opens: Column) -> DataFrame:
     """Pairs marks without a stack: an open mark is closed by the next mark of its family on the same line if that
@@ -35,11 +37,10 @@ def coverage(lo: Column, hi: Column, drop_lo: Column, drop_hi: Column) -> tuple[
 
 
 def active_counts(ranges: DataFrame, by: list[str], lo: str, hi: str) -> DataFrame:
-    """by, point, active: a sweep over +1 at lo and -1 after hi; no point inside a range is listed."""
+    """by, point, active: a sweep over +1 at lo and -1 after hi; no point inside a range is listed, no task holds a group."""
     steps = ranges.select(*by, F.col(lo).alias("point"), F.lit(1).alias("d")).unionByName(ranges.select(*by, (F.col(hi) + 1).alias("point"), F.lit(-1).alias("d")))
     steps = steps.groupBy(*by, "point").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy(*by).orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.select(*by, "point", F.sum("d").over(w).alias("active"))
+    return running_sum(steps, by, ["point"], "d", "active").select(*by, "point", "active")
 
 
 def islands(rows: DataFrame, by: list[str], value: str) -> DataFrame:

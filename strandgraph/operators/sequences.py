@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 
 def compare(a: DataFrame, b: DataFrame, by: str, pos: str, value: str, first: int = 5) -> DataFrame:
-    """by, n_a, n_b, differing, first_at (the first ``first`` places that differ): place by place, nulls as values."""
+    """by, n_a, n_b, differing, first_at (the first ``first`` places that differ): place by place; nulls are values, also as keys."""
     left = a.select(F.col(by).alias("_b"), F.col(pos).alias("_p"), F.struct(F.col(value).alias("v")).alias("_x"))
     right = b.select(F.col(by).alias("_c"), F.col(pos).alias("_q"), F.struct(F.col(value).alias("v")).alias("_y"))
-    both = left.join(right, (F.col("_b") == F.col("_c")) & (F.col("_p") == F.col("_q")), "full_outer")
+    both = left.join(right, F.col("_b").eqNullSafe(F.col("_c")) & F.col("_p").eqNullSafe(F.col("_q")), "full_outer")
     place, apart = F.coalesce("_p", "_q"), ~F.col("_x").eqNullSafe(F.col("_y"))
     found = both.select(F.coalesce("_b", "_c").alias(by), "_x", "_y", place.alias("_p"), apart.alias("_d"))
     rank = F.sum(F.col("_d").cast("int")).over(Window.partitionBy(by).orderBy("_p"))

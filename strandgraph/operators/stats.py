@@ -87,7 +87,7 @@ def quantile(rows: DataFrame, by: str, value: str, q: float) -> DataFrame:
     w = Window.partitionBy("g").orderBy("p")
     before = sizes.select(F.col("p").alias("p2"), F.col("g").alias("g2"), (F.sum("m").over(w) - F.col("m")).alias("b"), F.sum("m").over(Window.partitionBy("g")).alias("total"))
     local = ranged.withColumn("c", F.sum("n").over(Window.partitionBy("p", "g").orderBy("v")))
-    ranked = local.join(F.broadcast(before), (F.col("p") == F.col("p2")) & F.col("g").eqNullSafe(F.col("g2")))  # a row for each partition and group
+    ranked = local.join(before, (F.col("p") == F.col("p2")) & F.col("g").eqNullSafe(F.col("g2")))  # a row for each part of a group
     at = (F.col("total") - 1) * q
     first, last = F.col("b") + F.col("c") - F.col("n"), F.col("b") + F.col("c") - 1
     held = lambda place: F.max(F.when((first <= place) & (place <= last), F.col("v")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import audit, markup, render, stats, text
+from ..operators import audit, gazetteer, markup, ordered, render, stats, text
 from ..sources import corpus, shared
 from ..sources.tables import table
 from .registry import query
@@ -41,9 +41,8 @@ def cross_block_violations(spark, sf_dir):
     """Statements whose ends lie in different blocks."""
     nation = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").join(nation, F.col("o_custkey") == F.col("c_custkey"))
-    follow = Window.partitionBy("o_orderstatus").orderBy("o_orderkey")
-    pairs = o.select(F.col("o_orderkey").alias("a"), F.lead("o_orderkey").over(follow).alias("b"), "c_nationkey", F.lead("c_nationkey").over(follow).alias("other"))
-    return pairs.where("c_nationkey <> other").select("a", "b")
+    pairs = ordered.following(o, ["o_orderstatus"], ["o_orderkey"], ["o_orderkey", "c_nationkey"])
+    return pairs.where("c_nationkey <> next.c_nationkey").select(F.col("o_orderkey").alias("a"), F.col("next.o_orderkey").alias("b"))
 
 
 @query("SELECT source, CAST(sum(CASE WHEN lang = 'en' THEN 1 ELSE 0 END) AS BIGINT) AS en, CAST(sum(CASE WHEN lang = 'de' THEN 1 ELSE 0 END) AS BIGINT) AS de, CAST(sum(CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de') THEN 1 ELSE 0 END) AS BIGINT) AS other FROM documents GROUP BY source")
@@ -150,14 +149,16 @@ def reuse_jaccard(spark, sf_dir):
     return both.select("item_id", "doc_id", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("jaccard"))
 
 
-@query("SELECT DISTINCT t.token, e.entry, levenshtein(t.token, e.entry) AS distance FROM (SELECT DISTINCT CASE WHEN p_size % 2 = 0 THEN p_brand ELSE substr(p_brand, 1, length(p_brand) - 1) || 'x' END AS token FROM part) t JOIN (SELECT DISTINCT p_brand AS entry FROM part) e ON substr(t.token, 1, 5) = substr(e.entry, 1, 5) WHERE levenshtein(t.token, e.entry) <= 1")
+_TYPED = "CASE client_id % 4 WHEN 0 THEN city WHEN 1 THEN substr(city, 1, k - 1) || substr(city, k + 1) WHEN 2 THEN substr(city, 1, k - 1) || 'x' || substr(city, k + 1) ELSE substr(city, 1, k - 1) || 'x' || substr(city, k) END"
+
+
+@query(f"SELECT t.token, e.entry, levenshtein(t.token, e.entry) AS distance FROM (SELECT DISTINCT {_TYPED} AS token FROM (SELECT client_id, regexp_replace(city, '[^ -~]', '_', 'g') AS city, client_id % length(city) + 1 AS k FROM clients WHERE city IS NOT NULL)) t JOIN (SELECT DISTINCT regexp_replace(city, '[^ -~]', '_', 'g') AS entry FROM clients) e ON levenshtein(t.token, e.entry) <= 1")
 def gazetteer_fuzzy(spark, sf_dir):
-    """Entries at most one edit away, exact ones too, among those with the same beginning."""
-    part = table(spark, sf_dir, "part")
-    token = F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(F.concat(F.substring("p_brand", F.lit(1), F.length("p_brand") - 1), F.lit("x")))
-    tokens, entries = part.select(token.alias("token")).distinct(), part.select(F.col("p_brand").alias("entry")).distinct()
-    near = tokens.join(entries, F.substring("token", 1, 5) == F.substring("entry", 1, 5)).withColumn("distance", F.levenshtein("token", "entry", 1))
-    return near.where("distance >= 0").select("token", "entry", F.col("distance").cast("long").alias("distance"))
+    """Entries at most one edit away, anywhere in the word; tokens are names with a letter lost, changed or added.  Letters
+    beyond ASCII are one sign here, as the SQL measures bytes."""
+    c = table(spark, sf_dir, "clients").where("city IS NOT NULL").select("client_id", F.regexp_replace("city", "[^ -~]", "_").alias("city")).withColumn("k", F.expr("CAST(client_id % length(city) + 1 AS INT)"))
+    near = gazetteer.fuzzy(c.select(F.expr(_TYPED).alias("token")), c, "token", "city")
+    return near.select("token", "entry", F.col("distance").cast("long").alias("distance"))
 
 
 @query("""WITH w AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(regexp_extract_all(text, '[^ \\n]+')) AS word FROM documents WHERE lang IS NOT NULL) GROUP BY 1, 2), t AS (SELECT lang, sum(n) AS t FROM w GROUP BY 1), top AS (SELECT word FROM w GROUP BY word ORDER BY sum(n) DESC, word LIMIT 30),

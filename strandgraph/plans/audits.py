@@ -66,7 +66,7 @@ def identity_manifest(spark, sf_dir):
 
 
 @query("""SELECT source, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(r, '' ORDER BY part)) AS digest FROM (SELECT source, doc_id // 4096 AS part, count(*) AS n, sha256(string_agg(d, '' ORDER BY doc_id)) AS r FROM
- (SELECT source, doc_id, sha256(CAST(doc_id AS VARCHAR) || '|' || coalesce(lang, '~') || '|' || text) AS d FROM documents) GROUP BY 1, 2) GROUP BY source""")
+ (SELECT source, doc_id, sha256(coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || CAST(doc_id AS VARCHAR), '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS d FROM documents) GROUP BY 1, 2) GROUP BY source""")
 def fingerprint(spark, sf_dir):
     return audit.fingerprint(table(spark, sf_dir, "documents"), "doc_id", ["doc_id", "lang", "text"], ["source"])
 

@@ -194,11 +194,11 @@ def map_integrity(spark, sf_dir):
     return corpus.entries(lines)
 
 
-@query("""SELECT k AS src_file, CASE WHEN k % 7 = 0 THEN 'unexpected' WHEN k % 5 = 0 THEN 'missing' WHEN k % 3 = 0 THEN 'altered' ELSE 'ok' END AS status FROM (SELECT doc_id AS k FROM documents WHERE NOT (doc_id % 7 = 0 AND doc_id % 5 = 0))""")
+@query("""SELECT k AS src_file, CASE WHEN k % 7 = 0 THEN 'unexpected' WHEN k % 5 = 0 THEN 'missing' WHEN k % 11 = 0 THEN 'unlocked' WHEN k % 3 = 0 THEN 'altered' ELSE 'ok' END AS status FROM (SELECT doc_id AS k FROM documents WHERE NOT (doc_id % 7 = 0 AND doc_id % 5 = 0))""")
 def locked_acquisition(spark, sf_dir):
     """Files against a lock list; the modulos make the faults."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("src_file"), F.encode("text", "utf-8").alias("content"))
-    lock = docs.where("src_file % 7 <> 0").select("src_file", F.when(F.col("src_file") % 3 == 0, "0").otherwise(F.sha2("content", 256)).alias("sha256"))
+    lock = docs.where("src_file % 7 <> 0").select("src_file", F.when(F.col("src_file") % 11 == 0, None).when(F.col("src_file") % 3 == 0, "0").otherwise(F.sha2("content", 256)).alias("sha256"))
     return corpus.verified(docs.where("src_file % 5 <> 0"), lock)
 
 

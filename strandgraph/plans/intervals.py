@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import ranges
+from ..operators import ordered, ranges
 from ..sources.tables import table
 from .registry import query
 
@@ -86,9 +86,8 @@ def interval_overlap(spark, sf_dir):
     s = sessions(spark, sf_dir).withColumn("day", F.floor(F.col("lo") / 86400))
     starts = s.select("day", F.col("lo").alias("at"), F.lit(0).alias("side"), "user_id", F.lit(1).alias("d"))
     ends = s.select("day", F.col("hi").alias("at"), F.lit(1).alias("side"), "user_id", F.lit(-1).alias("d"))
-    order = Window.partitionBy("day").orderBy("at", "side", "user_id").rowsBetween(Window.unboundedPreceding, -1)
-    met = starts.unionByName(ends).withColumn("open", F.coalesce(F.sum("d").over(order), F.lit(0)))
-    return met.where("side = 0").groupBy("day").agg(F.sum("open").alias("pairs")).where("pairs > 0")
+    met = ordered.running_sum(starts.unionByName(ends), ["day"], ["at", "side", "user_id"], "d", "open")
+    return met.where("side = 0").groupBy("day").agg(F.sum(F.col("open") - 1).alias("pairs")).where("pairs > 0")
 
 
 @query(f"SELECT user_id, min(day) AS lo, max(day) AS hi, count(*) AS n FROM (SELECT user_id, day, day - row_number() OVER (PARTITION BY user_id ORDER BY day) AS g FROM (SELECT DISTINCT user_id, day FROM {_E})) GROUP BY user_id, g")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..operators import audit
+
 
 @F.pandas_udf(StringType())
 def composed(texts: pd.Series) -> pd.Series:
@@ -46,11 +48,11 @@ def sliced(content: Column, start: Column, end: Column) -> Column:
 
 
 def verified(files: DataFrame, lock: DataFrame, key: str = "src_file") -> DataFrame:
-    """key, status: ok, altered, missing or unexpected, by a lock list (key, sha256)."""
-    seen = files.select(F.col(key).alias("_k"), F.sha2("content", 256).alias("_sha"))
-    both = lock.select(key, "sha256").join(seen, F.col(key) == F.col("_k"), "full_outer")
-    status = F.when(F.col("_k").isNull(), "missing").when(F.col(key).isNull(), "unexpected").when(F.col("sha256") != F.col("_sha"), "altered").otherwise("ok")
-    return both.select(F.coalesce(key, "_k").alias(key), status.alias("status"))
+    """key, status: ok, altered, unlocked (the lock list has no hash for it), missing or unexpected, by a lock list (key,
+    sha256).  A null key is a key; a file without content is altered."""
+    both = audit.outer(lock.select(key, F.lower("sha256").alias("sha")), files.select(key, F.sha2("content", 256).alias("sha")), [key])
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "unexpected").when(F.col("a.sha").isNull(), "unlocked").when(~F.col("a.sha").eqNullSafe(F.col("b.sha")), "altered").otherwise("ok")
+    return both.select(key, status.alias("status"))
 
 
 def releases(files: DataFrame, release: str) -> DataFrame:
@@ -91,13 +93,16 @@ def entries(lines: DataFrame, sep: str = "\t") -> DataFrame:
     rows = lines.where(~F.col("value").startswith("#"))
     parts = F.split("value", sep, -1)
     read = rows.select(F.trim(F.get(parts, F.lit(0))).alias("reading"), F.trim(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("sequence"), F.size(parts).alias("columns"))
-    n = F.count("*").over(Window.partitionBy("reading"))
+    counts = read.groupBy(F.col("reading").alias("_r")).agg(F.count("*").alias("n"))
+    n, read = F.col("n"), read.join(counts, F.col("reading").eqNullSafe(F.col("_r")))
     fault = F.when(F.col("reading") == "", "empty").when((F.col("sequence") == "") | (F.col("columns") > 3), "unusable").when(n > 1, "duplicate")
-    return read.select("reading", "sequence", n.alias("n"), fault.alias("fault"))
+    return read.select("reading", "sequence", "n", fault.alias("fault"))
 
 
-def report_lines(rows: DataFrame, title: str) -> list[str]:
-    """A small result as Markdown, its rows in the order of all columns; meant for aggregates of bounded size."""
+def report_lines(rows: DataFrame, title: str, most: int = 10_000) -> list[str]:
+    """A small result as Markdown, its rows in the order of all columns; ValueError beyond ``most`` rows."""
     names = rows.columns
-    cells = [[str(v) for v in r] for r in rows.orderBy(*names).collect()]
+    cells = [[str(v) for v in r] for r in rows.orderBy(*names).limit(most + 1).collect()]
+    if len(cells) > most:
+        raise ValueError(f"more than {most} rows: write the table instead")
     return [f"# {title}", "", "| " + " | ".join(names) + " |", "|" + "-|" * len(names), *("| " + " | ".join(c) + " |" for c in cells)]
