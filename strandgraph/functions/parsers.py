@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -138,10 +138,14 @@ def field_kind(value: Column) -> Column:
     return F.struct(kind.alias("kind"), F.when(kind == "pos", F.array_join(parts, " ")).otherwise("").alias("pos"))
 
 
+#: Fixed values, the grammar of the records: a lettered alternative, and what parts a record from its clitic.
+ALTERNATIVE = "\\{\\s*(\\w+)\\s*→\\s*([^}]*)\\}"
+CLITIC_JOINT = "(@?)[ \\t]*(?:\\+=|\\+(?=@))[ \\t]*"
+
+
 def alternatives(morph: Column) -> Column:
     """Lettered alternatives ``{ a → X}`` as a map; the last of a letter counts."""
-    braces = "\\{\\s*(\\w+)\\s*→\\s*([^}]*)\\}"
-    keys, values = F.regexp_extract_all(morph, F.lit(braces), F.lit(1)), F.transform(F.regexp_extract_all(morph, F.lit(braces), F.lit(2)), lambda x: F.trim(x))
+    keys, values = F.regexp_extract_all(morph, F.lit(ALTERNATIVE), F.lit(1)), F.transform(F.regexp_extract_all(morph, F.lit(ALTERNATIVE), F.lit(2)), lambda x: F.trim(x))
     last = F.filter(F.arrays_zip(keys.alias("k"), values.alias("v"), F.sequence(F.lit(0), F.size(keys)).alias("i")), lambda x: x["k"].isNotNull() & ~F.array_contains(F.slice(keys, x["i"] + 2, F.greatest(F.size(keys), F.lit(1))), x["k"]))
     return F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))
 
@@ -150,10 +154,9 @@ def analysis_record(raw: Column) -> Column:
     """A record ``lemma@gloss@morph@field4@det`` with an optional clitic ``lemma@morph@field4@det`` after ``+=`` or
     ``+@``; fields are trimmed but never dropped.  ok is false, with a note, where the counts of fields or the control
     prefix don't fit; a clitic alone is no failure."""
-    joint = "(@?)[ \\t]*(?:\\+=|\\+(?=@))[ \\t]*"
-    sep = _part(raw, joint, 0)
+    sep = _part(raw, CLITIC_JOINT, 0)
     found = sep != ""
-    at = F.when(found, F.length(F.split(raw, joint, 2)[0])).otherwise(F.length(raw))
+    at = F.when(found, F.length(F.split(raw, CLITIC_JOINT, 2)[0])).otherwise(F.length(raw))
     base_text = F.substring(raw, F.lit(1), at)
     clitic_text = F.when(found, F.substring(raw, at + F.length(sep) + 1, F.length(raw)))
     cut = lambda x: F.transform(F.split(x, "@", -1), lambda p: F.trim(p))
@@ -315,13 +318,22 @@ def reading_key(raw: Column) -> Column:
     return F.translate(out, "0123456789", "₀₁₂₃₄₅₆₇₈₉")
 
 
+#: What a faulty replacement made of the letters of captions, and what they were.
+CAPTION_DAMAGE = (("%", "x"), ("ḫ", "h"), ("p", "b"), ("k", "g"))
+
+
 def undamaged(caption: Column) -> Column:
     """A caption that a faulty replacement hit, put right: each letter that it wrote goes back to the one it stood for."""
-    for bad, good in (("%", "x"), ("ḫ", "h"), ("p", "b"), ("k", "g")):
+    for bad, good in CAPTION_DAMAGE:
         caption = F.replace(caption, F.lit(bad), F.lit(good))
     return caption
 
 
+def undamaged_text(caption: str) -> str:
+    """As ``undamaged``, of one caption."""
+    return reduce(lambda text, pair: text.replace(*pair), CAPTION_DAMAGE, caption)
+
+
 def join_marks(raw: Column) -> Column:
     """Join marks in order: direct +, indirect (+), double ++ and doubtful (+)?, each only between neighbours that may join."""
     found = F.regexp_extract_all(raw, F.lit("(?<![+(\\w])(?:\\(\\+\\)\\??|\\+\\+?)(?![+)\\w])"), F.lit(0))
