@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .buckets import meeting, within
 from .ordered import running_sum
 
 
@@ -65,16 +66,14 @@ def nested(ranges: DataFrame, by: list[str], lo: str, hi: str, key: str) -> Data
     return ranges.withColumn("nested", F.coalesce(F.max(hi).over(before) >= F.col(hi), F.lit(False)))
 
 
-def contained(outer: DataFrame, inner: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def contained(outer: DataFrame, inner: DataFrame, key: str) -> DataFrame:
     """Pairs of an outer (lo, hi) with an inner (p_lo, p_hi) extent inside it; anchors aren't extents."""
-    i = inner.withColumnRenamed(key, "_k")
-    return outer.join(i, (F.col(key) == F.col("_k")) & (F.col("p_lo") >= F.col("lo")) & (F.col("p_hi") <= F.col("hi")), how).drop("_k")
+    return within(outer, inner, key)
 
 
-def overlapping(a: DataFrame, b: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def overlapping(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Pairs of (lo, hi) and (p_lo, p_hi) that share a point."""
-    i = b.withColumnRenamed(key, "_k")
-    return a.join(i, (F.col(key) == F.col("_k")) & (F.col("lo") <= F.col("p_hi")) & (F.col("p_lo") <= F.col("hi")), how).drop("_k")
+    return meeting(a, b, key)
 
 
 def sessions(events: DataFrame, by: str, at: str, order: list[str], gap: int) -> DataFrame:

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import buckets
+
 
 @dataclass
 class Atom:
@@ -100,7 +102,7 @@ def search_slots(template: str, types: Mapping[str, DataFrame], within: str = "d
     Each type has node, ``within`` (what no node crosses), lo and hi, and its features; rows whose ``extent`` is false are
     anchors and contain nothing.  Indentation means that the inner slots lie inside the outer ones.  A negated atom
     rules a container out by ``mode``: contains (it holds such a node whole), overlaps (they share a slot) or flagged
-    (it has a slot inside such a node of positive width)."""
+    (it has a slot inside such a node of positive width).  Joins are by buckets of the axis, so a document may be long."""
     roots = parse(template)
     names: list[str] = []
 
@@ -112,17 +114,14 @@ def search_slots(template: str, types: Mapping[str, DataFrame], within: str = "d
         out = (solid if atom.children or atom.without else df).select(F.col("node").alias(f"n{at}"), F.col(within).alias(f"w{at}"), F.col("lo").alias(f"lo{at}"), F.col("hi").alias(f"hi{at}"))
         for child in atom.children:
             k = len(names)
-            inner = rows(child)
-            out = out.join(inner, (F.col(f"w{at}") == F.col(f"w{k}")) & (F.col(f"lo{k}") >= F.col(f"lo{at}")) & (F.col(f"hi{k}") <= F.col(f"hi{at}")))
+            inner = rows(child).withColumnRenamed(f"w{k}", f"w{at}")
+            out = buckets.within(out, inner, f"w{at}", (f"lo{at}", f"hi{at}"), (f"lo{k}", f"hi{k}"))
         for child in atom.without:
             held = _filter(types[child.otype], [(n, o, _value(v)) for n, o, v in child.predicates])
-            held = held.select(F.col(within).alias("_w"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-            inside = (F.col("_lo") >= F.col(f"lo{at}")) & (F.col("_hi") <= F.col(f"hi{at}"))
-            if mode != "contains":
-                inside = (F.col("_lo") <= F.col(f"hi{at}")) & (F.col("_hi") >= F.col(f"lo{at}"))
+            held = held.select(F.col(within).alias(f"w{at}"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
             if mode == "flagged":
                 held = held.where("_hi > _lo")
-            out = out.join(held, (F.col(f"w{at}") == F.col("_w")) & inside, "left_anti")
+            out = buckets.lacking(out, held, f"w{at}", (f"lo{at}", f"hi{at}"), ("_lo", "_hi"), mode != "contains")
         return out
 
     found = rows(roots[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import ordered, ranges
+from ..operators import buckets, ordered, ranges
 from ..sources.tables import table
 from .registry import query
 
@@ -128,3 +128,13 @@ def stream_session(spark, sf_dir):
 @query(f"SELECT user_id, event_type, day, min(event_id) AS event_id FROM {_E} GROUP BY user_id, event_type, day")
 def stream_dedup(spark, sf_dir):
     return events(spark, sf_dir).groupBy("user_id", "event_type", "day").agg(F.min("event_id").alias("event_id"))
+
+
+@query(f"""WITH r AS (SELECT user_id, event_id, sec AS lo, sec + CAST(floor(value * 1000) AS BIGINT) AS hi FROM {_E} WHERE value IS NOT NULL), p AS (SELECT user_id, event_id, sec + 3000 AS p_lo, sec + 3000 + event_id % 5 * 100 AS p_hi FROM {_E})
+SELECT p.user_id, p.event_id, r.event_id AS holder FROM p LEFT JOIN r ON r.user_id = p.user_id AND lo <= p_lo AND p_hi <= hi QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY hi - lo, lo DESC, r.event_id) = 1""")
+def innermost_container(spark, sf_dir):
+    """The narrowest of nested and overlapping ranges that holds each place."""
+    e = events(spark, sf_dir)
+    held = e.where("value IS NOT NULL").select("user_id", "event_id", F.col("sec").alias("lo"), (F.col("sec") + F.floor(F.col("value") * 1000)).alias("hi"))
+    places = e.select("user_id", "event_id", (F.col("sec") + 3000).alias("p_lo"), (F.col("sec") + 3000 + F.col("event_id") % 5 * 100).alias("p_hi"))
+    return buckets.innermost(held, places, "user_id", "event_id")
