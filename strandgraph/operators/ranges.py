@@ -37,6 +37,35 @@ def coverage(lo: Column, hi: Column, drop_lo: Column, drop_hi: Column) -> tuple[
     return a2, b2, F.greatest(F.lit(0), b2 - a2 + 1)
 
 
+def open_coverage(spans: DataFrame, slots: DataFrame, by: str, strict: bool = False) -> DataFrame:
+    """Adds lo, hi (null if nothing is covered), width and anchor to ranges whose ends may be unknown.
+
+    ``spans`` has start_sign, start_offset, end_sign, end_offset (null signs lie outside every sign) and orphan (none,
+    open or close); ``slots`` has slot and length, contiguous in each ``by``.  An unknown start is the first slot, an
+    unknown end the last; swapped ends are put in order.  A start behind its sign's last letter and an end before its
+    sign's first leave that sign out; inside one sign a range covers it only if it has an extent.  A range that covers
+    nothing has width 0 and an anchor: its start, its end, or the first slot; one whose anchor is no slot is left out.
+    ``strict``: an orphan close without a sign before it covers nothing, instead of all up to its end."""
+    edges = slots.groupBy(F.col(by).alias("_d")).agg(F.min("slot").alias("_first"), F.max("slot").alias("_last"))
+    length = slots.select(F.col(by).alias("_e"), F.col("slot").alias("_slot"), "length")
+    both = spans.join(edges, F.col(by) == F.col("_d")).join(length, (F.col(by) == F.col("_e")) & (F.col("start_sign") == F.col("_slot")), "left")
+    start, end = F.col("start_sign"), F.col("end_sign")
+    a, b = F.coalesce(start, "_first"), F.coalesce(end, "_last")
+    both = both.withColumn("_lo", F.least(a, b)).withColumn("_hi", F.greatest(a, b))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    behind = start.isNotNull() & (F.col("start_offset") >= F.coalesce("length", F.lit(0)))
+    before = end.isNotNull() & (F.col("end_offset") <= 0)
+    inside = (lo == hi) & start.eqNullSafe(end)
+    drops = lambda at: F.when(behind & start.eqNullSafe(at) | before & end.eqNullSafe(at), 1).otherwise(0)
+    empty = F.when(inside, F.col("start_offset") >= F.col("end_offset")).when(lo == hi, drops(lo) > 0).otherwise(lo + drops(lo) > hi - drops(hi))
+    if strict:
+        empty = empty | (F.col("orphan") == "close") & start.isNull()
+    new_lo, new_hi = F.when(~empty, F.when(inside, lo).otherwise(lo + drops(lo))), F.when(~empty, F.when(inside, hi).otherwise(hi - drops(hi)))
+    anchor = F.when(empty, F.coalesce(start, end, "_first"))
+    held = both.where(~empty | F.coalesce(start, end, "_first").between(F.col("_first"), F.col("_last")))
+    return held.select(*spans.columns, new_lo.alias("lo"), new_hi.alias("hi"), F.coalesce(new_hi - new_lo + 1, F.lit(0)).cast("long").alias("width"), anchor.alias("anchor"))
+
+
 def active_counts(ranges: DataFrame, by: list[str], lo: str, hi: str) -> DataFrame:
     """by, point, active: a sweep over +1 at lo and -1 after hi; no point inside a range is listed, no task holds a group."""
     steps = ranges.select(*by, F.col(lo).alias("point"), F.lit(1).alias("d")).unionByName(ranges.select(*by, (F.col(hi) + 1).alias("point"), F.lit(-1).alias("d")))

@@ -138,3 +138,23 @@ def innermost_container(spark, sf_dir):
     held = e.where("value IS NOT NULL").select("user_id", "event_id", F.col("sec").alias("lo"), (F.col("sec") + F.floor(F.col("value") * 1000)).alias("hi"))
     places = e.select("user_id", "event_id", (F.col("sec") + 3000).alias("p_lo"), (F.col("sec") + 3000 + F.col("event_id") % 5 * 100).alias("p_hi"))
     return buckets.innermost(held, places, "user_id", "event_id")
+
+
+_OPEN = f"""WITH s AS (SELECT user_id, event_id, event_type, CAST(row_number() OVER (PARTITION BY user_id ORDER BY sec, event_id) AS BIGINT) AS slot, 1 + event_id % 4 AS length, count(*) OVER (PARTITION BY user_id) AS total FROM {_E}),
+r AS (SELECT event_id, user_id, CASE WHEN event_id % 5 > 0 THEN slot END AS a, event_id % 6 AS ao, CASE WHEN event_id % 7 > 0 THEN greatest(1, least(slot + event_id % 4 - 1, total)) END AS b, event_id % 3 AS bo, event_id % 5 = 0 AND event_id % 2 = 0 AS late, total FROM s WHERE event_type IN ('error', 'click')),
+c AS (SELECT r.*, l.length, unnest(range(least(coalesce(a, 1), coalesce(b, r.total)), greatest(coalesce(a, 1), coalesce(b, r.total)) + 1)) AS spot FROM r LEFT JOIN s l ON l.user_id = r.user_id AND l.slot = r.a),
+k AS (SELECT *, CASE WHEN coalesce(a, 1) = coalesce(b, total) AND a IS NOT DISTINCT FROM b THEN ao < bo ELSE NOT (coalesce(spot = a, false) AND ao >= length) AND NOT (coalesce(spot = b, false) AND bo <= 0) END AS kept FROM c)"""
+
+
+@query(f"""{_OPEN} SELECT event_id, min(spot) FILTER (WHERE kept) AS lo, max(spot) FILTER (WHERE kept) AS hi, count(*) FILTER (WHERE kept) AS width, CASE WHEN count(*) FILTER (WHERE kept) = 0 THEN coalesce(any_value(a), any_value(b), 1) END AS anchor,
+ CASE WHEN any_value(late) THEN 0 ELSE count(*) FILTER (WHERE kept) END AS strict_width, count(*) FILTER (WHERE kept) > 0 AND any_value(late) AS differs FROM k GROUP BY event_id""")
+def range_coverage_open(spark, sf_dir):
+    """Coverage of ranges with unknown ends in both modes, and where they differ; the SQL lists every slot."""
+    w = Window.partitionBy("user_id")
+    s = events(spark, sf_dir).select("user_id", "event_id", "event_type", F.row_number().over(w.orderBy("sec", "event_id")).cast("long").alias("slot"), (1 + F.col("event_id") % 4).alias("length"), F.count("*").over(w).alias("total"))
+    n = F.col("event_id")
+    end = F.greatest(F.lit(1), F.least(F.col("slot") + n % 4 - 1, F.col("total")))
+    r = s.where("event_type IN ('error', 'click')").select("event_id", "user_id", F.when(n % 5 > 0, F.col("slot")).alias("start_sign"), (n % 6).alias("start_offset"), F.when(n % 7 > 0, end).alias("end_sign"), (n % 3).alias("end_offset"), F.when((n % 5 == 0) & (n % 2 == 0), "close").otherwise("none").alias("orphan"))
+    parity, strict = (ranges.open_coverage(r, s.select("user_id", "slot", "length"), "user_id", x) for x in (False, True))
+    both = parity.join(strict.select(F.col("event_id").alias("_e"), F.col("width").alias("strict_width")), F.col("event_id") == F.col("_e"))
+    return both.select("event_id", "lo", "hi", "width", "anchor", "strict_width", (F.col("width") != F.col("strict_width")).alias("differs"))
