@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import buckets, ordered, ranges
 from ..sources.tables import table
+from ..streaming import pairing
 from .registry import query
 
 _E = "(SELECT event_id, user_id, event_type, value, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS day FROM events)"
@@ -158,3 +159,12 @@ def range_coverage_open(spark, sf_dir):
     parity, strict = (ranges.open_coverage(r, s.select("user_id", "slot", "length"), "user_id", x) for x in (False, True))
     both = parity.join(strict.select(F.col("event_id").alias("_e"), F.col("width").alias("strict_width")), F.col("event_id") == F.col("_e"))
     return both.select("event_id", "lo", "hi", "width", "anchor", "strict_width", (F.col("width") != F.col("strict_width")).alias("differs"))
+
+
+@query(f"SELECT event_id, state, crosses FROM ({_PAIR})")
+def stream_pairing(spark, sf_dir):
+    """Range pairing as a stream of three triggers with keyed state and timers."""
+    marks = table(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
+    at = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    found, _, _ = pairing.run(marks.select("user_id", at.alias("ts"), "event_id", F.unix_date(F.to_date("ts")).cast("long").alias("line"), (F.col("event_type") == "view").alias("opens")), 3)
+    return found.select("event_id", "state", "crosses")
