@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import api, audits, derive, gates, grammars, graphs, intervals, marked, records, texts  # noqa: E402,F401  each registers its queries
+from . import api, audits, derive, gates, grammars, graphs, intervals, learned, marked, records, texts  # noqa: E402,F401  each registers its queries
