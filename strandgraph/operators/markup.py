@@ -25,10 +25,35 @@ _FRAMING = frozenset("w lb clb parsep parsep_dbl P___Standard".split())
 _GROUP = re.compile(rb"[\x00 \t\r\n]*[^\x00 \t\r\n][^ \t\r\n]*")
 
 
+_NAME = re.compile(rb"[A-Za-z_:\x80-\xff][-A-Za-z0-9._:\x80-\xff]*")
+_GIVEN = re.compile(rb"[ \t\r\n]+(?P<name>" + _NAME.pattern + rb")[ \t\r\n]*=[ \t\r\n]*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)')")
+_LOOSE = re.compile(rb"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)")
+_CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+
+
 class Malformed(ValueError):
     """The text isn't one well-formed element; the message is the outcome."""
 
 
+def attributes(tag: bytes, raw: bytes) -> list[tuple[str, str]]:
+    """The attributes of a tag in order; Malformed where its name or one of them leaves the grammar."""
+    if not _NAME.fullmatch(tag):
+        raise Malformed("bad_name")
+    out, at = {}, 0
+    while m := _GIVEN.match(raw, at):
+        at, name, value = m.end(), m["name"].decode("utf-8", "replace"), m["a"] if m["a"] is not None else m["b"]
+        if name in out:
+            raise Malformed("repeated_attribute")
+        if b"<" in value:
+            raise Malformed("lt_in_attribute")
+        if _LOOSE.search(value):
+            raise Malformed("loose_ampersand")
+        out[name] = value.decode("utf-8", "replace")
+    if raw[at:].strip(b" \t\r\n"):
+        raise Malformed("bad_attribute")
+    return list(out.items())
+
+
 def scan(data: bytes) -> list[list]:
     """[tag, depth, outer start and end, inner start and end, attributes, self-closing] of each element, in the
     order of their start tags.  Inner offsets are None where the element closes itself."""
@@ -36,9 +61,20 @@ def scan(data: bytes) -> list[list]:
     open_: list[list] = []
     at = 0
 
+    if _CONTROL.search(data):
+        raise Malformed("control_character")
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        raise Malformed("not_utf8") from None
+
     def outside(piece: bytes):
         if b"<" in piece:
             raise Malformed("stray_lt")
+        if _LOOSE.search(piece):
+            raise Malformed("loose_ampersand")
+        if b"]]>" in piece:
+            raise Malformed("stray_cdata_end")
         if not open_ and piece.strip():
             raise Malformed("text_outside")
 
@@ -48,9 +84,16 @@ def scan(data: bytes) -> list[list]:
         if m["tag"] is None:
             if m[0].startswith(b"<![CDATA[") and not open_:
                 raise Malformed("text_outside")
+            if m[0].startswith(b"<!--") and (b"--" in m[0][4:-3] or m[0].endswith(b"--->")):
+                raise Malformed("dashes_in_comment")
+            if re.match(rb"<\?xml[ \t\r\n?]", m[0], re.I) and m.start():
+                raise Malformed("late_prolog")
             continue
         tag = m["tag"].decode("utf-8", "replace")
+        given = attributes(m["tag"], m["attrs"])
         if m["close"]:
+            if given or m["alone"]:
+                raise Malformed("attribute_in_end")
             if not open_:
                 raise Malformed("stray_close")
             if open_[-1][0] != tag:
@@ -60,8 +103,7 @@ def scan(data: bytes) -> list[list]:
             continue
         if spans and not open_:
             raise Malformed("second_root")
-        attrs = {k.decode("utf-8", "replace"): (a or b).decode("utf-8", "replace") for k, a, b in _ATTR.findall(m["attrs"])}
-        span = [tag, len(open_), m.start(), m.end(), None if m["alone"] else m.end(), None, list(attrs.items()), bool(m["alone"])]
+        span = [tag, len(open_), m.start(), m.end(), None if m["alone"] else m.end(), None, given, bool(m["alone"])]
         spans.append(span)
         if not m["alone"]:
             open_.append(span)
