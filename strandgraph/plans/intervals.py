@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import buckets, ordered, ranges
+from ..sources import store
 from ..sources.tables import table
 from ..streaming import pairing
 from .registry import query
@@ -168,3 +169,14 @@ def stream_pairing(spark, sf_dir):
     at = F.date_trunc("second", F.col("ts").cast("timestamp"))
     found, _, _ = pairing.run(marks.select("user_id", at.alias("ts"), "event_id", F.unix_date(F.to_date("ts")).cast("long").alias("line"), (F.col("event_type") == "view").alias("opens")), 3)
     return found.select("event_id", "state", "crosses")
+
+
+@query(f"SELECT s.user_id, s.session, e.event_id FROM {_SESSIONS} s JOIN {_E} e ON e.user_id = s.user_id AND e.sec BETWEEN s.lo AND s.hi WHERE e.event_type = 'click'")
+def graph_store(spark, sf_dir):
+    """Sessions and the clicks in them, from a store of both that is partitioned by type and bucketed by user."""
+    words = sessions(spark, sf_dir).select(F.lit("session").alias("otype"), F.col("user_id").alias("doc"), F.col("session").cast("long").alias("node"), F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
+    signs = events(spark, sf_dir).select(F.col("event_type").alias("otype"), F.col("user_id").alias("doc"), F.col("event_id").alias("node"), F.col("sec").cast("long").alias("lo"), F.col("sec").cast("long").alias("hi"))
+    name = store.save(words.unionByName(signs))
+    inner = store.nodes_of(spark, name, "click").select(F.col("doc").alias("d"), F.col("node").alias("event_id"), F.col("lo").alias("at"))
+    held = store.nodes_of(spark, name, "session").join(inner, (F.col("doc") == F.col("d")) & F.col("at").between(F.col("lo"), F.col("hi")))
+    return held.select(F.col("doc").alias("user_id"), F.col("node").alias("session"), "event_id")
