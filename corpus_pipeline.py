@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strandgraph.llm import cotrain, decontam, minhash, mixing, token_store
 from strandgraph.llm.common import materialise, table
 from strandgraph.llm.queries import END_ID, tokenizer_path
+from strandgraph.sources.shared import delete, folder, scratch
 
 
 def _without(docs: DataFrame, judge, verdict: str) -> DataFrame:
@@ -111,7 +112,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages.  What a stage wrote for itself goes when its result is written, and that when the next one is."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = folder(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if last is not None:
+            delete(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -320,3 +320,24 @@ def test_classifier_stage_drops_what_the_classifier_rejects(spark):
     kept = {r.doc_id for r in cotrain.classify(*tables).where("kept").collect()}
     got = dict(corpus_pipeline.STAGES)["quality classifier"](spark, tables[0], SF)
     assert sorted(r.doc_id for r in got.collect()) == sorted(kept) and 0 < len(kept) < tables[0].count()
+
+
+def test_a_run_leaves_only_its_last_tables(spark, tmp_path):
+    """The whole pipeline equals its stages one by one, and deletes what no result reads."""
+    import os
+
+    import corpus_pipeline
+    from strandgraph.sources import shared
+
+    root = os.path.dirname(shared.folder(spark, "any")).removeprefix("file:")
+    root = "/" + root.lstrip("/")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    out = corpus_pipeline.run(spark, SF)
+    left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before)
+    got = {tuple(r) for r in out.select("doc_id", "start", "n_tokens").collect()}
+    assert left == ["mixing", "token-files", "tokens"]
+    seen = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, seen, SF).write.parquet(str(tmp_path / name))
+        seen = spark.read.parquet(str(tmp_path / name))
+    assert got == {tuple(r) for r in corpus_pipeline.tokens(spark, seen, SF).select("doc_id", "start", "n_tokens").collect()}
