@@ -88,6 +88,17 @@ def test_index_against_all_pairs(spark):
     assert set(got) <= set(want) and all(got[p] == pytest.approx(want[p]) for p in got) and len(got) >= 0.99 * len(want) > 20
 
 
+def test_index_sets_travel_with_linked_pairs_only(spark, monkeypatch):
+    """Texts that share a common line and nothing else cost no pairs; those that are half of it are all linked."""
+    line = [f"l{i}" for i in range(12)]
+    rows = [(i, line + [f"w{i}-{j}" for j in range(100)]) for i in range(200)] + [(1000 + i, line + [f"s{i}-{j}" for j in range(6)]) for i in range(8)]
+    made, keep = {}, reuse.written
+    monkeypatch.setattr(reuse, "written", lambda df, label: made.setdefault(label, keep(df, label)))
+    found, _ = reuse.similar(spark.createDataFrame(rows, "k int, w array<string>"), "k", "w")
+    pairs = {(r.a, r.b) for r in made["pairs"].collect()}
+    assert {(r.a, r.b) for r in found.collect()} == pairs == {(a, b) for a in range(1000, 1008) for b in range(a + 1, 1008)}
+
+
 def test_runs_against_brute_force(spark):
     rng = random.Random(4)
     a = [(i, [rng.choice("abc") for _ in range(rng.randint(0, 30))]) for i in range(6)]
