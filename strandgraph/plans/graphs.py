@@ -127,7 +127,7 @@ def stratified_sample(spark, sf_dir):
 def systematic_sample(spark, sf_dir):
     """Every 20th document in the order of its name: the sampling is the operator."""
     named = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), "doc_id", "source")
-    return corpus.ordinals(named, "name").where("(ordinal - 1) % 20 = 0").select("doc_id", "source")
+    return corpus.ordinals(named, "name", ("doc_id", "source")).where("(ordinal - 1) % 20 = 0").select("doc_id", "source")
 
 
 @query("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' THEN l_quantity END DESC NULLS LAST, l_linenumber) AS place FROM lineitem")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..operators import audit
+from ..operators import audit, ordered
 
 
 @F.pandas_udf(StringType())
@@ -31,13 +31,13 @@ def stable_key(path: Column, root: str) -> Column:
     return composed(F.replace(F.replace(bare, F.lit(below), F.lit("")), F.lit("%20"), F.lit(" ")))
 
 
-def ordinals(files: DataFrame, key: str = "src_file") -> DataFrame:
-    """Adds ordinal: the place in the order of the folded key, then of the key.  Places are counted in ranges of the
-    order, so no task holds all files."""
-    order = [F.lower(key), F.col(key)]
-    ranged = files.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+def ordinals(files: DataFrame, key: str = "src_file", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ordinal: the place in the order of the folded key, then of the key, then of ``ties``.  Places are counted in
+    ranges of the order, so no task holds all files; the ranges are written once, as each evaluation would draw others."""
+    order = [F.lower(key), F.col(key), *map(F.col, ties)]
+    ranged = ordered.dealt(files, [], order)
     local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = local.groupBy(F.col("_p").alias("_q")).agg(F.count("*").alias("_m"))
+    sizes = ranged.groupBy(F.col("_p").alias("_q")).agg(F.count("*").alias("_m"))
     before = sizes.select("_q", (F.sum("_m").over(Window.orderBy("_q")) - F.col("_m")).alias("_b"))  # one row a partition
     return local.join(F.broadcast(before), F.col("_p") == F.col("_q")).withColumn("ordinal", F.col("_b") + F.col("_n")).drop("_p", "_n", "_q", "_b")
 

@@ -133,3 +133,10 @@ def test_language_is_reset_by_a_null(spark):
     df = spark.createDataFrame(rows, "d long, o long, e boolean, v string")
     held = hierarchy.active(F.col("e"), F.col("v"), ["d"], ["o"])
     assert [r[0] for r in df.select(held.alias("h"), "o").orderBy("o").collect()] == ["x", "x", None, None]
+
+
+def test_ordinals_of_many_files_and_equal_names(spark):
+    """Ranges are drawn from a sample; places are right where the rows are many more than that."""
+    rows = spark.range(60000).select((F.col("id") * 7919 % 60000).alias("node"), F.lpad((F.col("id") % 20000).cast("string"), 6, "0").alias("name")).repartition(6)
+    got = corpus.ordinals(rows, "name", ("node",)).toPandas().sort_values(["name", "node"])
+    assert list(got.ordinal) == list(range(1, 60001))
