@@ -14,8 +14,8 @@ from .texts import _WORDS, _words
 
 @query("SELECT c_custkey AS node, row_number() OVER (ORDER BY lower(c_name), c_name) AS ordinal FROM customer")
 def otype_scan(spark, sf_dir):
-    """All nodes of a type in their order."""
-    return corpus.ordinals(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node"), "c_name"), "c_name").select("node", F.col("ordinal").cast("long").alias("ordinal"))
+    """All nodes of a type in their order; of equal names the smaller node is first, as in the table."""
+    return corpus.ordinals(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node"), "c_name"), "c_name", ("node",)).select("node", F.col("ordinal").cast("long").alias("ordinal"))
 
 
 @query("SELECT table_name AS otype, column_name AS feature FROM information_schema.columns WHERE table_name IN ('documents', 'pages', 'labels')")
