@@ -93,8 +93,7 @@ def sequence_alignment(spark, sf_dir):
 
 @query(f"""{_DRAWN} SELECT line_id, pos, {_VALUE} AS cu_sign, CAST(length({_VALUE}) AS INTEGER) AS cu_nsigns FROM drawn JOIN found USING (line_id)""")
 def alignment_projection(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
-    return align.project(lines, align.align(lines, _COMPOUNDS)).select("line_id", "pos", "cu_sign", "cu_nsigns")
+    return align.project(align.align(_lines(spark, sf_dir), _COMPOUNDS)).select("line_id", "pos", "cu_sign", "cu_nsigns")
 
 
 @query(f"""{_DRAWN} SELECT level, count(*) AS lines, CAST(sum(n) AS BIGINT) AS signs, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM (SELECT line_id, level, count({_VALUE}) AS n FROM drawn JOIN found USING (line_id) GROUP BY 1, 2) GROUP BY level""")
@@ -102,8 +101,8 @@ def alignment_coverage(spark, sf_dir):
     """Lines and decided signs by level, and each level's share."""
     found = align.align(_lines(spark, sf_dir), _COMPOUNDS)
     each = found.groupBy("level").agg(F.count("*").alias("lines"), F.sum(F.size(F.array_compact("values"))).alias("signs"))
-    total = found.agg(F.count("*").alias("_n"))
-    return each.join(F.broadcast(total)).select("level", "lines", "signs", F.round(100.0 * F.col("lines") / F.col("_n"), 4).alias("share"))  # one row
+    total = F.sum("lines").over(Window.partitionBy())  # a row a level
+    return each.select("level", "lines", "signs", F.round(100.0 * F.col("lines") / total, 4).alias("share"))
 
 
 @query(f"""{_DRAWN} SELECT reading, glyph, count(*) AS top_obs, count(*) AS total_obs, CAST(1 AS DOUBLE) AS confidence FROM drawn JOIN found USING (line_id) WHERE level = 1 GROUP BY reading, glyph HAVING count(*) >= 5""")

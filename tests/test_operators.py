@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from strandgraph.functions import parsers
@@ -176,3 +178,12 @@ def test_components_equal_union_find(spark):
     got = {r.id: r.label for r in stats.min_label_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in label}
     assert stats.min_label_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["alignment_coverage", "alignment_gate", "alignment_projection"])
+def test_each_line_is_aligned_once(spark, name):
+    """A result's lines are aligned in one pass, with no join back to the lines."""
+    from strandgraph.plans import registry
+
+    plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapIn") == 1 and "Join" not in plan
