@@ -187,3 +187,15 @@ def test_each_line_is_aligned_once(spark, name):
 
     plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapIn") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["analysis_record_parse", "control_gate", "morphology_gate"])
+def test_records_are_parsed_once_on_all_cores(spark, name):
+    """The parts of a record are evaluated once (the joint is looked for, then cut at), and a small file is dealt out."""
+    from strandgraph.plans import registry
+
+    df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == 1
+    record = parsers.analysis_record(F.col("raw"))._jc.toString()
+    assert record.count("[ \\t]*(?:\\+=") <= 3
