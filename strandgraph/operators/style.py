@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.mllib.linalg import Vectors as OldVectors
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import let
+from ..sources.shared import written
 
 #: Buckets of n-grams; the factorisation holds a matrix of their square on the driver, whatever the texts.
 BUCKETS = 2048
@@ -29,16 +36,70 @@ def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
     return let(F.regexp_extract_all(F.regexp_replace(F.coalesce(text, F.lit("")), "\\s+", " "), F.lit("(?s)."), F.lit(0)), grams)
 
 
+def _hashed(text: str, least: int, most: int, buckets: int) -> np.ndarray:
+    """The bucket of each run of characters, as ``HashingTF`` gives it: Murmur3 of the run's bytes."""
+    data = np.frombuffer(text.encode("utf-8", "replace") + bytes(4), np.uint8)
+    four = data[:-3].astype(np.uint32) | data[1:-2].astype(np.uint32) << 8 | data[2:-1].astype(np.uint32) << 16 | data[3:].astype(np.uint32) << 24
+    edges = np.append(np.flatnonzero(data[:-4] & 0xC0 != 0x80), len(data) - 4)  # where characters begin, and the end
+    starts = np.concatenate([edges[: max(len(edges) - k, 0)] for k in range(least, most + 1)])
+    sizes = np.concatenate([edges[k:] for k in range(least, most + 1)]) - starts
+    rotated = lambda x, r: x << np.uint32(r) | x >> np.uint32(32 - r)
+    mixed = lambda k: rotated(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+    h = np.full(len(starts), 42, np.uint32)
+    for i in range(0, sizes.max(initial=0) - 3, 4):
+        m = np.flatnonzero(sizes >= i + 4)
+        h[m] = rotated(h[m] ^ mixed(four[starts[m] + i]), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = sizes % 4
+    h ^= mixed(four[starts + sizes - rest] & np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)[rest])
+    h ^= sizes.astype(np.uint32)
+    for r, c in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> np.uint32(r)) * np.uint32(c)
+    return (h ^ h >> np.uint32(16)).view(np.int32) % buckets
+
+
+def counted(docs: DataFrame, key: str, text: str, least: int = 3, most: int = 5, buckets: int = BUCKETS) -> DataFrame:
+    """key, at, n: how often each text has runs of ``least`` to ``most`` characters in each bucket, as ``char_ngrams``
+    gives them; map side."""
+
+    def run(batches):
+        for b in batches:
+            at, n = [], []
+            for text in b.column(1):
+                sums = np.bincount(_hashed(text.as_py() or "", least, most, buckets), minlength=buckets)
+                at.append(np.flatnonzero(sums))
+                n.append(sums[at[-1]].astype(float))
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in at])]), pa.int32())
+            flat = lambda parts, kind: pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts), kind))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([b.column(0), flat(at, pa.int32()), flat(n, pa.float64())], [key, "at", "n"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, F.regexp_replace(text, "\\s+", " ")).mapInArrow(run, f"{key} {kind}, at array<int>, n array<double>")
+
+
 def vectors(docs: DataFrame, key: str, text: str, least: int = 3, most: int = 5, buckets: int = BUCKETS) -> DataFrame:
-    """key and the weights of each text: counts by inverse document frequency, of length 1; an empty text has none."""
-    grams = docs.select(F.col(key), char_ngrams(F.col(text), least, most).alias("_grams"))
-    steps = Pipeline(stages=[HashingTF(numFeatures=buckets, inputCol="_grams", outputCol="_counts"), IDF(inputCol="_counts", outputCol="_weights"), Normalizer(p=2.0, inputCol="_weights", outputCol="weights")])
-    return steps.fit(grams).transform(grams).select(key, "weights")
+    """key and the weights of each text: counts by inverse document frequency, of length 1; an empty text has none.  The
+    counts are written, as the steps that follow read them several times."""
+    counts = written(counted(docs, key, text, least, most, buckets), "ngrams")
+    sparse = F.udf(lambda at, n: Vectors.sparse(buckets, at, n), VectorUDT())
+    held = counts.select(key, sparse("at", "n").alias("_counts"))
+    steps = Pipeline(stages=[IDF(inputCol="_counts", outputCol="_weights"), Normalizer(p=2.0, inputCol="_weights", outputCol="weights")])
+    return written(steps.fit(held).transform(held).select(key, "weights"), "weights")
 
 
 def reduced(weighted: DataFrame, key: str, k: int = 16) -> DataFrame:
-    """key and ``place``, the ``k`` principal components of the weights; distances stay as near as rank ``k`` allows."""
-    return PCA(k=k, inputCol="weights", outputCol="place").fit(weighted).transform(weighted).select(key, "place")
+    """key and ``place``, the ``k`` principal components of the weights; distances stay as near as rank ``k`` allows.  The
+    tasks sum the covariance; the driver takes the matrix of ``BUCKETS`` squared apart."""
+    rows = RowMatrix(weighted.select("weights").rdd.map(lambda r: OldVectors.fromML(r.weights)))
+    axes = np.linalg.eigh(rows.computeCovariance().toArray())[1][:, ::-1][:, :k]
+
+    def run(frames):
+        for pdf in frames:
+            yield pd.DataFrame({key: pdf[key], "place": [axes[a].T @ n if len(a) else np.zeros(k) for a, n in zip(pdf["at"], pdf["n"])]})
+
+    kind = weighted.schema[key].dataType.simpleString()
+    parts = weighted.select(key, F.udf(lambda v: (v.indices.tolist(), v.values.tolist()) if hasattr(v, "indices") else (list(range(len(v))), v.tolist()), "at array<int>, n array<double>")("weights").alias("w"))
+    return written(parts.select(key, "w.at", "w.n").mapInPandas(run, f"{key} {kind}, place array<double>").select(key, array_to_vector("place").alias("place")), "places")
 
 
 def clusters(places: DataFrame, key: str, k: int, seed: int = 1) -> DataFrame:

@@ -20,6 +20,18 @@ def test_char_ngrams(spark):
     assert got == [["ab ", "b 𒀀", " 𒀀d", "ab 𒀀", "b 𒀀d"], ["a b"], [], []]
 
 
+def test_counts_equal_hashing_tf(spark):
+    """Counts by bucket are those of Spark's own hashing of the n-grams, which are made once and written."""
+    from pyspark.ml.feature import HashingTF
+
+    rows = [(0, "ab 𒀀d\n\té€x"), (1, None), (2, "ab"), (3, "zażółć gęślą " * 20), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id BETWEEN 5 AND 60"))
+    grams = docs.select("doc_id", style.char_ngrams(F.col("text")).alias("g"))
+    want = HashingTF(numFeatures=300, inputCol="g", outputCol="c").transform(grams).select("doc_id", vector_to_array("c").alias("c")).collect()
+    got = {r.doc_id: dict(zip(r.at, r.n)) for r in style.counted(docs, "doc_id", "text", buckets=300).collect()}
+    assert len(want) > 50 and all(got[r.doc_id] == {i: n for i, n in enumerate(r.c) if n} for r in want)
+
+
 def test_style_against_numpy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120")
     weighted = style.vectors(docs, "doc_id", "text", buckets=256).cache()
