@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import count
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +37,28 @@ def top_k(rows: DataFrame, by: list[str], order: list[Column], k: int) -> DataFr
 def collocations(line_words: DataFrame, window: int, least: int) -> DataFrame:
     """Ordered pairs within ``window`` words of a line, counted, with pointwise mutual information.
 
-    ``line_words`` has an array ``ws`` a line; pairs come from the array itself, without a self join."""
-    n = F.size("ws")
-    shifted = [F.when(n > d, F.arrays_zip(F.slice("ws", F.lit(1), n - d).alias("a"), F.slice("ws", F.lit(d + 1), n - d).alias("b"))) for d in range(1, window)]
-    pairs = line_words.select(F.explode(F.flatten(F.array_compact(F.array(*shifted)))).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    freq = line_words.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("f"))
+    ``line_words`` has an array ``ws`` a line.  Pairs are counted by their words' hashes, under a seed with which no two
+    words of the table clash, so the counts are exact and no text is shuffled but that of each word once."""
+    freq = written(line_words.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("f")), "words")
+    words = freq.count()
+    seed = next(s for s in count() if freq.select(F.xxhash64(F.lit(s), "w").alias("h")).distinct().count() == words)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten().to_numpy()
+            line = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+            for d in range(1, min(window, len(flat))):
+                same = line[:-d] == line[d:]
+                yield pa.RecordBatch.from_arrays([pa.array(flat[:-d][same]), pa.array(flat[d:][same])], ["a", "b"])
+
+    hashed = line_words.select(F.transform("ws", lambda w: F.xxhash64(F.lit(seed), w)).alias("ws"))
+    pairs = hashed.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     total = freq.agg(F.sum("f").alias("total"))
-    fa, fb = freq.select(F.col("w").alias("a"), F.col("f").alias("fa")), freq.select(F.col("w").alias("b"), F.col("f").alias("fb"))
+    named = freq.select(F.xxhash64(F.lit(seed), "w").alias("h"), "w", "f")
+    fa, fb = (named.select(F.col("h").alias(k), F.col("w").alias(f"w{k}"), F.col("f").alias(f"f{k}")) for k in "ab")
     joined = pairs.join(fa, "a").join(fb, "b").join(F.broadcast(total))  # one row
-    return joined.select("a", "b", "n", F.round(F.log2(F.col("n") * F.col("total") / (F.col("fa") * F.col("fb"))), 6).alias("pmi"))
+    return joined.select(F.col("wa").alias("a"), F.col("wb").alias("b"), "n", F.round(F.log2(F.col("n") * F.col("total") / (F.col("fa") * F.col("fb"))), 6).alias("pmi"))
 
 
 def tfidf(counts: DataFrame, doc: str, term: str, n_docs: DataFrame) -> DataFrame:
