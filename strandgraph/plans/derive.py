@@ -233,11 +233,11 @@ def reuse_blocks(spark, sf_dir):
     """Runs of five words or more that a benchmark item shares with the documents that hold one of its shingles."""
     words = F.regexp_extract_all("text", F.lit("[^ \\n]+"), F.lit(0))
     items = table(spark, sf_dir, "benchmark").select("item_id", words.alias("a"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", words.alias("b"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     from .texts import shingle_reuse
 
     pairs = shingle_reuse(spark, sf_dir).select("item_id", "doc_id")
-    both = pairs.join(items, "item_id").join(docs, "doc_id")
+    both = pairs.join(items, "item_id").join(docs, "doc_id").select("item_id", "doc_id", "a", words.alias("b"))
     return sequences.blocks(both, ["item_id", "doc_id"], "a", "b")
 
 
