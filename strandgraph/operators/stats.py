@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import written
 
+#: Terms that one document in so many holds are known to all tasks.
+COMMON = 64
+
 
 def lexicon(tokens: DataFrame, keys: list[str], anchor: str) -> DataFrame:
     return tokens.groupBy(*keys).agg(F.count("*").alias("noccs"), F.min(anchor).alias("first_anchor"))
@@ -61,9 +64,21 @@ def collocations(line_words: DataFrame, window: int, least: int) -> DataFrame:
     return joined.select(F.col("wa").alias("a"), F.col("wb").alias("b"), "n", F.round(F.log2(F.col("n") * F.col("total") / (F.col("fa") * F.col("fb"))), 6).alias("pmi"))
 
 
-def tfidf(counts: DataFrame, doc: str, term: str, n_docs: DataFrame) -> DataFrame:
-    """counts has doc, term, tf; n_docs one row ``n``."""
+def tfidf(counts: DataFrame, doc: str, term: str, n_docs: DataFrame, k: int | None = None) -> DataFrame:
+    """counts has doc, term, tf; n_docs one row ``n``.  With ``k`` only terms that may be among the ``k`` heaviest of
+    their document, all of those included.
+
+    Terms that one document in ``COMMON`` holds are few, at most ``COMMON`` times the terms of a mean document, so all tasks
+    know them; the weight of any other lies between tf * ln(COMMON) and tf * ln(n).  A term that can't reach the ``k``-th
+    largest lower bound of its document is left out before the join."""
     df = counts.groupBy(term).agg(F.count("*").alias("df"))
+    if k is not None:
+        common = df.join(F.broadcast(n_docs)).where(F.col("df") * COMMON >= F.col("n")).select(F.col(term).alias("_t"), F.log(F.col("n") / F.col("df")).alias("_idf"))
+        held = counts.join(F.broadcast(common), F.col(term).eqNullSafe(F.col("_t")), "left").join(F.broadcast(n_docs))
+        low = held.select(doc, term, "tf", (F.col("tf") * F.coalesce("_idf", F.log(F.lit(float(COMMON))))).alias("_low"), (F.col("tf") * F.coalesce("_idf", F.log("n"))).alias("_high"))
+        w = Window.partitionBy(doc).orderBy(F.desc("_low")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        least = F.coalesce(F.nth_value("_low", k).over(w), F.lit(float("-inf")))
+        counts = low.withColumn("_least", least).where(F.col("_high") >= F.col("_least") - 1e-5).select(doc, term, "tf")  # weights are rounded
     return counts.join(df, term).join(F.broadcast(n_docs)).select(doc, term, "tf", F.round(F.col("tf") * F.log(F.col("n") / F.col("df")), 6).alias("weight"))
 
 

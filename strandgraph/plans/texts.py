@@ -155,8 +155,8 @@ w AS (SELECT doc_id, term, tf, round(tf * ln(CAST(n AS DOUBLE) / df), 6) AS weig
 SELECT doc_id, term, tf, weight FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS r FROM w) WHERE r <= 3""")
 def tfidf(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    counts = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[^ \\n]+"), F.lit(0))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
-    weighted = stats.tfidf(counts, "doc_id", "term", docs.agg(F.count("*").alias("n")))
+    counts = docs.select("doc_id", "text").repartition("doc_id").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[^ \\n]+"), F.lit(0))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    weighted = stats.tfidf(counts, "doc_id", "term", docs.agg(F.count("*").alias("n")), 3)
     return stats.top_k(weighted, ["doc_id"], [F.desc("weight"), F.asc("term")], 3).drop("rank")
 
 
