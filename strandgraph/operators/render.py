@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.core import let
+
 _FIELD = re.compile(r"\{([^}]*)\}")
 
 
-def compiled(fmt: str) -> tuple[str | None, Column]:
+def compiled(fmt: str, column: Callable[[str], Column] = F.col) -> tuple[str | None, Column]:
     """The level and expression of a format such as ``line#{cu} ``: names in braces are columns (null: nothing), names
     parted by a slash the first that isn't null; before # stands the type that it is made for."""
     head, mark, body = fmt.partition("#")
@@ -19,7 +22,7 @@ def compiled(fmt: str) -> tuple[str | None, Column]:
     for m in _FIELD.finditer(text):
         if m.start() > at:
             parts.append(F.lit(text[at : m.start()]))
-        parts.append(F.coalesce(*[F.col(n).cast("string") for n in m[1].split("/")], F.lit("")))
+        parts.append(F.coalesce(*[column(n).cast("string") for n in m[1].split("/")], F.lit("")))
         at = m.end()
     if at < len(text) or not parts:
         parts.append(F.lit(text[at:]))
@@ -37,6 +40,22 @@ def rendered(units: dict[str | None, DataFrame], by: str, order: str, fmt: str)
     return units[level].groupBy(by).agg(F.array_join(F.transform(ordered, lambda x: x["p"]), "").alias("rendered"))
 
 
+def listed(rows: DataFrame, by: str, units: Column, line: str, order: str, unit: str, fmt: str) -> DataFrame:
+    """by, line (from 1), rendered: the same for ``units`` that a row holds as lists of lines of units, without a row for
+    each.  Lines of one number come together, their units by place; lines without units give no row."""
+    part = lambda x: compiled(fmt, lambda n: x[n])[1]
+
+    def whole(lists, i):
+        placed = F.flatten(F.transform(lists, lambda u: F.coalesce(F.transform(F.get(u, i), lambda x, p: F.struct((p + 1).alias(order), x.alias(unit))), F.array())))
+        return F.when(F.size(lists) > 1, F.array_sort(placed)).otherwise(placed)
+
+    def lines(lists):
+        n = F.array_max(F.transform(lists, F.size))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.transform(whole(lists, i), part), "")))
+
+    return rows.select(by, F.posexplode(let(units, lines)).alias(line, "rendered")).where("rendered <> ''").withColumn(line, F.col(line) + 1)
+
+
 def lookup(sections: DataFrame, wanted: DataFrame, levels: list[str], node: str) -> DataFrame:
     """The wanted addresses with a node for each match (null: none) and whether the address is ambiguous."""
     have = sections.select(*[F.col(c).alias(f"_{c}") for c in levels], F.col(node).alias("node"))

@@ -98,8 +98,10 @@ def section_addresses(spark, sf_dir):
 
 @query(f"SELECT doc_id, line, string_agg(word || '/' || CAST(pos AS VARCHAR) || ' ', '' ORDER BY pos) AS rendered FROM ({_WORDS}) GROUP BY doc_id, line")
 def text_format(spark, sf_dir):
-    words = _words(spark, sf_dir).withColumn("at", F.struct("doc_id", "line"))
-    return render.rendered({None: words}, "at", "pos", "{word}/{pos} ").select("at.doc_id", "at.line", "rendered")
+    """Whole texts come together by their document; their lines are rendered where they stand."""
+    docs = table(spark, sf_dir, "documents").groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
+    lines = F.transform("texts", lambda t: F.transform(F.split(t, "\n"), lambda x: F.regexp_extract_all(x, F.lit("[^ ]+"), F.lit(0))))
+    return render.listed(docs, "doc_id", lines, "line", "pos", "word", "{word}/{pos} ")
 
 
 @query("SELECT conv_id, string_agg(coalesce(role, '') || '#' || text || ' ', '' ORDER BY turn) AS rendered FROM conversations GROUP BY conv_id")
