@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align, stats, template
 from ..sources import corpus
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 from .registry import query
 
 
@@ -94,9 +94,10 @@ def ambiguity_entropy(spark, sf_dir):
 
 @query("SELECT a.l_partkey AS a, b.l_partkey AS b, count(*) AS weight FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY 1, 2")
 def cooccurrence_network(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
-    a, b = (line.select("l_orderkey", F.col("l_partkey").alias(n)) for n in "ab")
-    return a.join(b, "l_orderkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("weight"))
+    """The join is dealt into parts of a bounded number of rows, so a task's pairs are too."""
+    line = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), 500_000, "l_orderkey")
+    a, b = (line.withColumnRenamed("l_partkey", n) for n in "ab")
+    return a.join(b.hint("merge"), "l_orderkey").where("a < b").groupBy("a", "b").agg(F.count("*").alias("weight"))
 
 
 @query("SELECT l_orderkey, l_suppkey, min(l_returnflag) AS kind FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_returnflag) = 1")
