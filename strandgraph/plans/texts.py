@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsers
 from ..operators import stats, text
-from ..sources.tables import table
+from ..sources.tables import parts, table
 from .registry import query
 
 _LINES = "SELECT doc_id, CAST(i AS INTEGER) AS line, l[i] AS content FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"
@@ -127,9 +127,16 @@ def shingle_reuse(spark, sf_dir):
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b, levenshtein(a.p_name, b.p_name) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey")
 def edit_distance(spark, sf_dir):
-    a = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("a"), F.col("p_name").alias("na"), "p_brand", "p_size", "p_type")
-    b = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("b"), F.col("p_name").alias("nb"), "p_brand", "p_size", "p_type")
-    return a.join(b, ["p_brand", "p_size", "p_type"]).where("a < b").select("a", "b", F.levenshtein("na", "nb").cast("long").alias("distance"))
+    """Every pair is in the result, so the work grows with the square of a group; a group is cut into parts of about 256
+    names, each of which meets the whole group, and the parts are dealt over all cores."""
+    keys = ["p_brand", "p_size", "p_type"]
+    part = table(spark, sf_dir, "part").select(*keys, "p_partkey", "p_name")
+    placed = part.join(part.groupBy(*keys).agg(F.ceil(F.count("*") / 256).alias("parts")), keys)
+    a = placed.select(*keys, F.col("p_partkey").alias("a"), F.col("p_name").alias("na"), F.pmod(F.xxhash64("p_partkey"), "parts").alias("part"))
+    b = placed.select(*keys, F.col("p_partkey").alias("b"), F.col("p_name").alias("nb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    n = parts(part, 20_000)
+    a, b = (x.repartition(n, *keys, "part") for x in (a, b))
+    return a.join(b.hint("merge"), [*keys, "part"]).where("a < b").select("a", "b", F.levenshtein("na", "nb").cast("long").alias("distance"))
 
 
 @query("SELECT d.doc_id, CAST(len(regexp_extract_all(text, '[^ \\n]+')) AS INTEGER) AS n_words, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines, round(CAST(length(text) AS DOUBLE) / greatest(1, len(regexp_extract_all(text, '[^ \\n]+'))), 6) AS chars_per_word, quality FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id")
