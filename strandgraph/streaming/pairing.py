@@ -1,8 +1,8 @@
 """Pairing of open and close marks as keyed state with event-time timers.
 
 Rows may come out of order by as much as the watermark allows: they wait in list state until it has passed them, then
-they are read in order, with the last open mark in value state.  A timer at the earliest waiting row, and one at the
-time when an open mark's patience ends, wake a key without input.  Rows behind the watermark are dropped by Spark and
+they are read in order, with the last open mark in value state.  One timer, at the earliest waiting row or at the time
+when an open mark's patience ends, wakes a key without input.  Rows behind the watermark are dropped by Spark and
 counted in the query's progress.
 """
 
@@ -35,7 +35,8 @@ class PairMarks(StatefulProcessor):
         self.open = handle.getValueState("open", _MARK)
 
     def _read(self, key: tuple, until: int) -> Iterator[pd.DataFrame]:
-        """Takes the waiting marks up to ``until`` in order, and sets the timers for the rest."""
+        """Takes the waiting marks up to ``until`` in order, and sets the timer for the rest: whatever is due is read when
+        it fires, so the earliest time is enough."""
         waiting = sorted(tuple(r) for r in self.waiting.get())
         due = [m for m in waiting if m[0] <= until]
         held, found = tuple(self.open.get()) if self.open.exists() else None, []
@@ -51,8 +52,9 @@ class PairMarks(StatefulProcessor):
         self.open.clear() if held is None else self.open.update(held)
         rest = waiting[len(due) :]
         self.waiting.put(rest) if rest else self.waiting.clear()
-        for at in {m[0] for m in rest} | ({held[0] + self.patience} if held is not None else set()):
-            self.handle.registerTimer(at)
+        at = [m[0] for m in rest[:1]] + ([held[0] + self.patience] if held is not None else [])
+        if at:
+            self.handle.registerTimer(min(at))
         if found:
             yield pd.DataFrame([(key[0], *f) for f in found], columns=["user_id", "event_id", "state", "crosses"])
 
@@ -88,8 +90,8 @@ def run(marks: DataFrame, batches: int, late: str = "1 day", patience_days: int
         else:  # twice: the second is read when the mark has moved
             far = spark.sql(f"SELECT CAST('2200-01-0{part - batches + 1}' AS TIMESTAMP) AS ts, CAST(-1 AS BIGINT) AS user_id, CAST(-1 AS BIGINT) AS event_id, CAST(-1 AS BIGINT) AS line, false AS opens")
             rows = marks.limit(0).unionByName(far, allowMissingColumns=True)
-        rows.coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(marks.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(marks.schema).parquet(source)  # all that is new is one trigger
         query = paired(stream, late, patience_days).writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
         for p in query.recentProgress:
