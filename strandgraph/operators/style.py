@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.mllib.linalg import Vectors as OldVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +17,8 @@ from ..sources.shared import written
 
 #: Buckets of n-grams; the factorisation holds a matrix of their square on the driver, whatever the texts.
 BUCKETS = 2048
+#: Bytes of text that are hashed together, and texts whose weights stand in one matrix.
+PIECE, ROWS = 1 << 16, 512
 
 
 def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
@@ -36,75 +35,188 @@ def char_ngrams(text: Column, least: int = 3, most: int = 5) -> Column:
     return let(F.regexp_extract_all(F.regexp_replace(F.coalesce(text, F.lit("")), "\\s+", " "), F.lit("(?s)."), F.lit(0)), grams)
 
 
-def _hashed(text: str, least: int, most: int, buckets: int) -> np.ndarray:
-    """The bucket of each run of characters, as ``HashingTF`` gives it: Murmur3 of the run's bytes."""
-    data = np.frombuffer(text.encode("utf-8", "replace") + bytes(4), np.uint8)
-    four = data[:-3].astype(np.uint32) | data[1:-2].astype(np.uint32) << 8 | data[2:-1].astype(np.uint32) << 16 | data[3:].astype(np.uint32) << 24
-    edges = np.append(np.flatnonzero(data[:-4] & 0xC0 != 0x80), len(data) - 4)  # where characters begin, and the end
-    starts = np.concatenate([edges[: max(len(edges) - k, 0)] for k in range(least, most + 1)])
-    sizes = np.concatenate([edges[k:] for k in range(least, most + 1)]) - starts
-    rotated = lambda x, r: x << np.uint32(r) | x >> np.uint32(32 - r)
-    mixed = lambda k: rotated(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
-    h = np.full(len(starts), 42, np.uint32)
-    for i in range(0, sizes.max(initial=0) - 3, 4):
-        m = np.flatnonzero(sizes >= i + 4)
-        h[m] = rotated(h[m] ^ mixed(four[starts[m] + i]), 13) * np.uint32(5) + np.uint32(0xE6546B64)
-    rest = sizes % 4
-    h ^= mixed(four[starts + sizes - rest] & np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)[rest])
-    h ^= sizes.astype(np.uint32)
-    for r, c in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
-        h = (h ^ h >> np.uint32(r)) * np.uint32(c)
-    return (h ^ h >> np.uint32(16)).view(np.int32) % buckets
+def _one_blank(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts and where each ends, with runs of white space as one blank; the borders of texts part them."""
+    white = (data == 32) | (data - np.uint8(9) < 5)
+    again = np.zeros(len(data), bool)
+    again[1:] = white[1:] & white[:-1]
+    again[ends[:-1][ends[:-1] < len(data)]] = False
+    keep = ~again
+    return np.where(white, np.uint8(32), data)[keep], np.append(0, np.cumsum(keep))[ends]
+
+
+def _hashed(data: np.ndarray, ends: np.ndarray, least: int, most: int, buckets: int):
+    """Arrays of the buckets of runs of characters, as ``HashingTF`` gives them: Murmur3 of the run's bytes.  Runs of one
+    length in bytes are hashed together, at all places at once where many are; a text's buckets follow the last one's."""
+    n = len(data)
+    wide = np.append(data, np.zeros(4, np.uint8)).astype(np.uint32)
+    four = wide[:-3] | wide[1:-2] << np.uint32(8) | wide[2:-1] << np.uint32(16) | wide[3:] << np.uint32(24)
+    edges = np.append(np.flatnonzero(data & 0xC0 != 0x80), n)  # where characters begin, and the end
+    lengths = np.diff(ends, prepend=0)
+    shift, last = np.repeat(np.arange(len(ends)) * buckets, lengths), np.repeat(ends, lengths)
+    starts, sizes = [], []
+    for k in range(least, most + 1):
+        first, to = edges[: max(len(edges) - k, 0)], edges[k:]
+        inside = to <= last[first]
+        starts.append(first[inside])
+        sizes.append(to[inside] - starts[-1])
+    starts, sizes = np.concatenate(starts), np.concatenate(sizes)
+
+    def mixed(k):
+        k = k * np.uint32(0xCC9E2D51)
+        return (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
+
+    def turned(h):
+        return (h << np.uint32(13) | h >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
+
+    block = mixed(four)
+    begun = turned(block ^ np.uint32(42))
+    for size in np.flatnonzero(np.bincount(sizes)).tolist():
+        at = starts[sizes == size]
+        whole = 3 * len(at) > n
+        seen = (lambda x, i: x[i : n - size + 1 + i]) if whole else (lambda x, i: x[at + i])
+        h = seen(begun, 0) if size >= 4 else np.uint32(42)
+        for i in range(4, size - 3, 4):
+            h = turned(h ^ seen(block, i))
+        if size % 4:
+            h = h ^ mixed(seen(four, size - size % 4) & np.uint32(256 ** (size % 4) - 1))
+        h = h ^ np.uint32(size)
+        for r, c in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            h = (h ^ h >> np.uint32(r)) * np.uint32(c)
+        h = h ^ h >> np.uint32(16)
+        h = h & np.uint32(buckets - 1) if buckets & (buckets - 1) == 0 else h.view(np.int32) % np.int32(buckets)
+        yield shift[at] + (h[at] if whole else h)
 
 
 def counted(docs: DataFrame, key: str, text: str, least: int = 3, most: int = 5, buckets: int = BUCKETS) -> DataFrame:
     """key, at, n: how often each text has runs of ``least`` to ``most`` characters in each bucket, as ``char_ngrams``
-    gives them; map side."""
+    gives them; map side, some short texts at a time."""
 
     def run(batches):
         for b in batches:
-            at, n = [], []
-            for text in b.column(1):
-                sums = np.bincount(_hashed(text.as_py() or "", least, most, buckets), minlength=buckets)
-                at.append(np.flatnonzero(sums))
-                n.append(sums[at[-1]].astype(float))
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in at])]), pa.int32())
-            flat = lambda parts, kind: pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts), kind))
-            if len(at):
-                yield pa.RecordBatch.from_arrays([b.column(0), flat(at, pa.int32()), flat(n, pa.float64())], [key, "at", "n"])
+            texts = b.column(1).fill_null("").cast(pa.large_binary())
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
+            i = 0
+            while i < len(texts):
+                before = ends[i - 1] if i else 0
+                j = max(i + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+                data = np.frombuffer(b"".join(texts[i:j].to_pylist()), np.uint8)
+                sums = np.zeros((j - i) * buckets, np.int64)
+                for found in _hashed(*_one_blank(data, ends[i:j] - before), least, most, buckets):
+                    sums += np.bincount(found, minlength=len(sums))
+                at = np.flatnonzero(sums)
+                cuts = pa.array(np.searchsorted(at, np.arange(j - i + 1) * buckets).astype(np.int32))
+                flat = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (at % buckets, sums[at])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *flat], [key, "at", "n"])
+                i = j
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, F.regexp_replace(text, "\\s+", " ")).mapInArrow(run, f"{key} {kind}, at array<int>, n array<double>")
+    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, at array<int>, n array<int>")
+
+
+def _idf(counts: DataFrame, buckets: int) -> np.ndarray:
+    """The inverse document frequency of each bucket, as ``pyspark.ml`` defines it; tasks count, the driver gets a number a
+    bucket."""
+
+    def run(batches):
+        total = np.zeros(buckets + 1, np.int64)
+        for b in batches:
+            total[:-1] += np.bincount(b.column(0).flatten().to_numpy(), minlength=buckets)
+            total[-1] += b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets + 1)), pa.array(total)], ["i", "n"])
+
+    df = np.zeros(buckets + 1)
+    for r in counts.select("at").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        df[r.i] = r.n
+    return np.log((df[-1] + 1) / (df[:-1] + 1))
 
 
 def vectors(docs: DataFrame, key: str, text: str, least: int = 3, most: int = 5, buckets: int = BUCKETS) -> DataFrame:
-    """key and the weights of each text: counts by inverse document frequency, of length 1; an empty text has none.  The
-    counts are written, as the steps that follow read them several times."""
+    """key, the places and weights of each text, and both as a vector ``weights``: counts by inverse document frequency, of
+    length 1; an empty text has none.  The counts are written, as the steps that follow read them several times."""
     counts = written(counted(docs, key, text, least, most, buckets), "ngrams")
-    sparse = F.udf(lambda at, n: Vectors.sparse(buckets, at, n), VectorUDT())
-    held = counts.select(key, sparse("at", "n").alias("_counts"))
-    steps = Pipeline(stages=[IDF(inputCol="_counts", outputCol="_weights"), Normalizer(p=2.0, inputCol="_weights", outputCol="weights")])
-    return written(steps.fit(held).transform(held).select(key, "weights"), "weights")
+    idf = _idf(counts, buckets)
 
-
-def reduced(weighted: DataFrame, key: str, k: int = 16) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            at = b.column(1).flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), b.column(1).value_lengths().to_numpy())
+            w = b.column(2).flatten().to_numpy() * idf[at]
+            norm = np.sqrt(np.bincount(row, w * w, minlength=b.num_rows))
+            ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (at, w / np.where(norm > 0, norm, 1)[row])]
+            yield pa.RecordBatch.from_arrays([b.column(0), *lists], [key, "at", "w"])
+
+    kind = counts.schema[key].dataType.simpleString()
+    sparse = F.udf(lambda at, w: Vectors.sparse(buckets, at, w), VectorUDT())
+    return counts.mapInArrow(run, f"{key} {kind}, at array<int>, w array<double>").withColumn("weights", sparse("at", "w"))
+
+
+def _dense(at: pa.ListArray, w: pa.ListArray, buckets: int):
+    """The weights of up to ``ROWS`` texts at a time as a matrix."""
+    for i in range(0, len(at), ROWS):
+        a, n = at.slice(i, ROWS), len(at[i : i + ROWS])
+        x = np.zeros((n, buckets))
+        x[np.repeat(np.arange(n), a.value_lengths().to_numpy()), a.flatten().to_numpy()] = w.slice(i, ROWS).flatten().to_numpy()
+        yield x
+
+
+def _covariance(weighted: DataFrame, buckets: int) -> np.ndarray:
+    """The covariance of the weights: a task sums products and hands on a row of them for each bucket; the rows are summed
+    by bucket, and the driver gets one matrix.  Tasks are a few for each core, however long the table is."""
+
+    def products(batches):
+        sums, total, n = np.zeros((buckets, buckets)), np.zeros(buckets), 0
+        for b in batches:
+            for x in _dense(b.column(0), b.column(1), buckets):
+                sums += x.T @ x
+                total += x.sum(0)
+                n += len(x)
+        if n:
+            task = TaskContext.get().partitionId()
+            for i in range(0, buckets, ROWS):
+                rows = range(i, min(i + ROWS, buckets))
+                yield pa.RecordBatch.from_pydict({"i": pa.array(rows, pa.int32()), "task": pa.array([task] * len(rows), pa.int32()), "sums": pa.array([sums[r, r:].tobytes() for r in rows], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"i": pa.array([-1], pa.int32()), "task": pa.array([task], pa.int32()), "sums": pa.array([np.append(total, n).tobytes()], pa.binary())})
+
+    def summed(table):
+        table = table.sort_by("task")  # one order of the sums, whatever comes first
+        whole = sum(np.frombuffer(x.as_py()) for x in table["sums"])
+        return pa.table({"i": table["i"][:1], "sums": pa.array([whole.tobytes()], pa.binary())})
+
+    parts = weighted.select("at", "w").coalesce(2 * weighted.sparkSession.sparkContext.defaultParallelism)
+    found = {r.i: np.frombuffer(r.sums) for r in parts.mapInArrow(products, "i int, task int, sums binary").groupBy("i").applyInArrow(summed, "i int, sums binary").collect()}
+    out = np.zeros((buckets, buckets))
+    if found:
+        n, mean = found[-1][-1], found[-1][:-1] / found[-1][-1]
+        for i in range(buckets):
+            out[i, i:] = out[i:, i] = (found[i] - n * mean[i] * mean[i:]) / max(n - 1, 1)
+    return out
+
+
+def reduced(weighted: DataFrame, key: str, k: int = 16, buckets: int = BUCKETS) -> DataFrame:
     """key and ``place``, the ``k`` principal components of the weights; distances stay as near as rank ``k`` allows.  The
-    tasks sum the covariance; the driver takes the matrix of ``BUCKETS`` squared apart."""
-    rows = RowMatrix(weighted.select("weights").rdd.map(lambda r: OldVectors.fromML(r.weights)))
-    axes = np.linalg.eigh(rows.computeCovariance().toArray())[1][:, ::-1][:, :k]
+    tasks sum the covariance; the driver takes the matrix of ``buckets`` squared apart."""
+    covariance = _covariance(weighted, buckets)
+    held = np.flatnonzero(np.diag(covariance) > 0)
+    axes = np.zeros((buckets, k))
+    found = np.linalg.eigh(covariance[np.ix_(held, held)])[1][:, ::-1][:, :k]
+    axes[held, : found.shape[1]] = found
 
-    def run(frames):
-        for pdf in frames:
-            yield pd.DataFrame({key: pdf[key], "place": [axes[a].T @ n if len(a) else np.zeros(k) for a, n in zip(pdf["at"], pdf["n"])]})
+    def run(batches):
+        for b in batches:
+            places = np.concatenate([np.zeros((0, k)), *(x @ axes for x in _dense(b.column(1), b.column(2), buckets))])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * k, pa.int32()), pa.array(places.ravel()))], [key, "place"])
 
     kind = weighted.schema[key].dataType.simpleString()
-    parts = weighted.select(key, F.udf(lambda v: (v.indices.tolist(), v.values.tolist()) if hasattr(v, "indices") else (list(range(len(v))), v.tolist()), "at array<int>, n array<double>")("weights").alias("w"))
-    return written(parts.select(key, "w.at", "w.n").mapInPandas(run, f"{key} {kind}, place array<double>").select(key, array_to_vector("place").alias("place")), "places")
+    return written(weighted.select(key, "at", "w").mapInArrow(run, f"{key} {kind}, place array<double>").select(key, array_to_vector("place").alias("place")), "places")
 
 
 def clusters(places: DataFrame, key: str, k: int, seed: int = 1) -> DataFrame:
-    """key, cluster (by k-means from a fixed seed) and the distance to its centre."""
-    model = KMeans(k=k, seed=seed, featuresCol="place", predictionCol="cluster").fit(places)
+    """key, cluster (by k-means from a fixed seed) and the distance to its centre.  The first centres are drawn partition by
+    partition, so rows are dealt and ordered by their keys, not as files happen to be listed."""
+    dealt = places.repartition(8 + places.count() // 100_000, key).sortWithinPartitions(key)
+    model = KMeans(k=k, seed=seed, featuresCol="place", predictionCol="cluster").fit(dealt)
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
     away = F.zip_with(vector_to_array("place"), F.get(centres, F.col("cluster")), lambda a, b: (a - b) * (a - b))
     return model.transform(places).select(key, "cluster", F.sqrt(F.aggregate(away, F.lit(0.0), lambda s, x: s + x)).alias("distance"))
