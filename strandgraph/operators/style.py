@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import let
 from ..sources.shared import written
+from ..sources.tables import bounded
 
 #: Buckets of n-grams; the factorisation holds a matrix of their square on the driver, whatever the texts.
 BUCKETS = 2048
@@ -134,22 +135,14 @@ def _idf(counts: DataFrame, buckets: int) -> np.ndarray:
 def vectors(docs: DataFrame, key: str, text: str, least: int = 3, most: int = 5, buckets: int = BUCKETS) -> DataFrame:
     """key, the places and weights of each text, and both as a vector ``weights``: counts by inverse document frequency, of
     length 1; an empty text has none.  The counts are written, as the steps that follow read them several times."""
+    bounded(docs.sparkSession)
     counts = written(counted(docs, key, text, least, most, buckets), "ngrams")
-    idf = _idf(counts, buckets)
-
-    def run(batches):
-        for b in batches:
-            at = b.column(1).flatten().to_numpy()
-            row = np.repeat(np.arange(b.num_rows), b.column(1).value_lengths().to_numpy())
-            w = b.column(2).flatten().to_numpy() * idf[at]
-            norm = np.sqrt(np.bincount(row, w * w, minlength=b.num_rows))
-            ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (at, w / np.where(norm > 0, norm, 1)[row])]
-            yield pa.RecordBatch.from_arrays([b.column(0), *lists], [key, "at", "w"])
-
-    kind = counts.schema[key].dataType.simpleString()
+    idf = F.array(*[F.lit(float(x)) for x in _idf(counts, buckets)])
+    raw = F.zip_with("at", "n", lambda a, n: n * F.get(idf, a))
+    norm = lambda w: F.sqrt(F.aggregate(w, F.lit(0.0), lambda s, x: s + x * x))
+    scaled = let(raw, lambda w: let(norm(w), lambda n: F.when(n > 0, F.transform(w, lambda x: x / n)).otherwise(w)))
     sparse = F.udf(lambda at, w: Vectors.sparse(buckets, at, w), VectorUDT())
-    return counts.mapInArrow(run, f"{key} {kind}, at array<int>, w array<double>").withColumn("weights", sparse("at", "w"))
+    return counts.select(key, "at", scaled.alias("w")).withColumn("weights", sparse("at", "w"))
 
 
 def _dense(at: pa.ListArray, w: pa.ListArray, buckets: int):
@@ -197,6 +190,7 @@ def _covariance(weighted: DataFrame, buckets: int) -> np.ndarray:
 def reduced(weighted: DataFrame, key: str, k: int = 16, buckets: int = BUCKETS) -> DataFrame:
     """key and ``place``, the ``k`` principal components of the weights; distances stay as near as rank ``k`` allows.  The
     tasks sum the covariance; the driver takes the matrix of ``buckets`` squared apart."""
+    bounded(weighted.sparkSession)
     covariance = _covariance(weighted, buckets)
     held = np.flatnonzero(np.diag(covariance) > 0)
     axes = np.zeros((buckets, k))
